@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact
+from starmill.functions import exact_sum
 from starmill.operators.quantiles import cut_points, exact_quantiles
 from starmill.operators.star import Tables, order_ids, per_order, star_join
 from starmill.plans.common import PURCHASE, delivered
@@ -36,7 +36,7 @@ def customer_rfm_segments(
     An order counts if it has lines and payments. Each of the three measures scores one point
     per quantile passed plus one; the sum of the points picks the segment by ``floors``.
     """
-    paid = per_order(t["order_payments"], F.sum(exact("payment_value")).alias("paid"))
+    paid = per_order(t["order_payments"], exact_sum("payment_value").alias("paid"))
     bought = (
         star_join({**t, "orders": delivered(t["orders"])}, ["orders", "customers"])
         .join(paid, "order_id")
@@ -47,7 +47,7 @@ def customer_rfm_segments(
         .agg(
             F.to_date(F.max(PURCHASE)).alias("last_day"),
             F.count("order_id").alias("frequency"),
-            F.sum("paid").cast("double").alias("monetary"),
+            exact_sum("paid").alias("monetary"),
         )
         .filter(F.col("monetary") > 0)
     )

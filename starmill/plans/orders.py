@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import days_between, exact, exact_avg
+from starmill.functions import days_between, exact_sum, number
 from starmill.operators.quantiles import cut_points, exact_quantiles
 from starmill.operators.star import Tables, distinct_orders, per_order, star_join, translated
 from starmill.plans.common import (
@@ -179,12 +179,12 @@ def _per_product(items: DataFrame, *columns: str) -> DataFrame:
     """Sum and count of each column per product, before any product attribute is joined."""
     measures = []
     for c in columns:
-        measures += [F.sum(exact(c)).alias(f"{c}_sum"), F.count(c).alias(f"{c}_n")]
+        measures += [exact_sum(c).alias(f"{c}_sum"), F.count(number(c)).alias(f"{c}_n")]
     return items.groupBy("product_id").agg(*measures)
 
 
 def _mean(column: str):
-    return F.sum(f"{column}_sum").cast("double") / F.sum(f"{column}_n")
+    return exact_sum(f"{column}_sum") / F.sum(f"{column}_n")
 
 
 @mart(
@@ -228,12 +228,12 @@ def freight_by_category_filtered(
         t["order_items"]
         .groupBy("order_id", "product_id")
         .agg(
-            F.sum(exact("freight_value")).alias("freight"),
-            F.count("freight_value").alias("n"),
+            exact_sum("freight_value").alias("freight"),
+            F.count(number("freight_value")).alias("n"),
         )
         .join(chosen.select("order_id"), "order_id")
         .groupBy("product_id")
-        .agg(F.sum("freight").alias("freight_value_sum"), F.sum("n").alias("freight_value_n"))
+        .agg(exact_sum("freight").alias("freight_value_sum"), F.sum("n").alias("freight_value_n"))
     )
     return (
         freight.join(t["products"], "product_id")

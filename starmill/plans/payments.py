@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact, exact_sum
+from starmill.functions import exact_sum
 from starmill.operators.star import Tables, order_ids, star_join
 from starmill.plans.common import month, year
 from starmill.plans.registry import mart
@@ -16,9 +16,7 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 
 def _paid_by_type(payments: DataFrame) -> DataFrame:
     """One row per order and payment type, so that an order's many payments shuffle as few."""
-    return payments.groupBy("order_id", "payment_type").agg(
-        F.sum(exact("payment_value")).alias("paid")
-    )
+    return payments.groupBy("order_id", "payment_type").agg(exact_sum("payment_value").alias("paid"))
 
 
 @mart(
@@ -62,7 +60,7 @@ def payment_mix_by_state(t: Tables) -> DataFrame:
         .join(star_join(t, ["orders", "customers"]), "order_id")
         .groupBy("customer_state", "payment_type")
         .agg(
-            F.sum("paid").cast("double").alias("payment_value"),
+            exact_sum("paid").alias("payment_value"),
             F.countDistinct("order_id").alias("order_count"),
         )
     )
@@ -82,5 +80,5 @@ def monthly_revenue_by_payment_type(t: Tables) -> DataFrame:
         .join(t["orders"], "order_id")
         .join(order_ids(t["order_items"]), "order_id", "left_semi")
         .groupBy(year("order_year"), month("order_month"), "payment_type")
-        .agg(F.sum("paid").cast("double").alias("payment_value"))
+        .agg(exact_sum("paid").alias("payment_value"))
     )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact, exact_avg, exact_sum
+from starmill.functions import exact_avg, exact_sum
 from starmill.operators.star import Tables, per_order, star_join
 from starmill.plans.common import (
     CATEGORY,
@@ -72,9 +72,9 @@ def monthly_revenue_distinct_orders(t: Tables) -> DataFrame:
         item_categories(t)
         .filter(F.col("price").isNotNull() & F.col(CATEGORY).isNotNull())
         .groupBy("order_id", CATEGORY)
-        .agg(F.sum(exact("price")).alias("spent"))
+        .agg(exact_sum("price").alias("spent"))
     )
-    revenue, orders = F.sum("spent").cast("double"), F.countDistinct("order_id")
+    revenue, orders = exact_sum("spent"), F.countDistinct("order_id")
     return (
         spent.join(with_purchase(delivered(t["orders"])), "order_id")
         .groupBy(year("order_year"), month("order_month"), CATEGORY)
@@ -114,12 +114,12 @@ def avg_order_revenue_by_product_monthly(t: Tables) -> DataFrame:
     spent = (
         t["order_items"]
         .groupBy("order_id", "product_id")
-        .agg(F.sum(exact("price")).alias("spent"))
+        .agg(exact_sum("price").alias("spent"))
     )
     return (
         spent.join(delivered(t["orders"]), "order_id")
         .groupBy(year(), month(), "product_id")
-        .agg((F.sum("spent").cast("double") / F.count("spent")).alias("average_revenue"))
+        .agg(exact_avg("spent").alias("average_revenue"))
     )
 
 
@@ -132,7 +132,7 @@ def avg_order_revenue_by_product_monthly(t: Tables) -> DataFrame:
 )
 def quarterly_revenue_summary(t: Tables) -> DataFrame:
     """Literal: grouped by month, and the price is multiplied by the line's sequence number."""
-    weighted = F.sum(exact(F.col("price") * F.col("order_item_id"))).alias("revenue")
+    weighted = exact_sum(F.col("price") * F.col("order_item_id")).alias("revenue")
     return _by_period(t, weighted, year(), month())
 
 
@@ -145,7 +145,7 @@ def quarterly_revenue_summary(t: Tables) -> DataFrame:
 )
 def quarterly_revenue_by_quarter(t: Tables) -> DataFrame:
     """The intended form: delivered revenue per calendar quarter."""
-    return _by_period(t, F.sum(exact("price")).alias("revenue"), year(), quarter())
+    return _by_period(t, exact_sum("price").alias("revenue"), year(), quarter())
 
 
 def _by_period(t: Tables, amount, *period) -> DataFrame:
@@ -153,7 +153,7 @@ def _by_period(t: Tables, amount, *period) -> DataFrame:
         per_order(t["order_items"], amount)
         .join(delivered(t["orders"]), "order_id")
         .groupBy(*period)
-        .agg(F.sum("revenue").cast("double").alias("revenue"))
+        .agg(exact_sum("revenue").alias("revenue"))
     )
 
 
@@ -201,10 +201,10 @@ def period_revenue_total(
 ) -> DataFrame:
     """Revenue per month. Payments are not joined: they would multiply the lines."""
     return (
-        per_order(t["order_items"], F.sum(exact("price")).alias("spent"))
+        per_order(t["order_items"], exact_sum("price").alias("spent"))
         .join(in_months(t["orders"], years, months), "order_id")
         .groupBy(year(), month())
-        .agg(F.sum("spent").cast("double").alias("total_revenue"))
+        .agg(exact_sum("spent").alias("total_revenue"))
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact
-from starmill.operators.star import Tables
+from starmill.functions import exact_avg, exact_sum
+from starmill.operators.star import Tables, per_order
 from starmill.plans.registry import mart
 
 TIERS = ("Gold", "Silver", "Bronze")
@@ -32,19 +32,15 @@ def seller_performance_scorecard(
     Every order of a seller weighs once: its reviews are one mean score and its lines one sum,
     so that neither multiplies the other. Sellers without reviews are Bronze.
     """
-    scores = t["order_reviews"].groupBy("order_id").agg(
-        exact(F.avg("review_score")).alias("score")
-    )
-    sold = t["order_items"].groupBy("order_id", "seller_id").agg(
-        F.sum(exact("price")).alias("spent")
-    )
+    scores = per_order(t["order_reviews"], F.avg("review_score").alias("score"))
+    sold = t["order_items"].groupBy("order_id", "seller_id").agg(exact_sum("price").alias("spent"))
     sales = (
         sold.join(t["orders"].select("order_id", "order_status"), "order_id")
         .join(scores, "order_id", "left")
         .groupBy("seller_id")
         .agg(
-            (F.sum("score").cast("double") / F.count("score")).alias("avg_review_score"),
-            F.sum("spent").cast("double").alias("total_revenue"),
+            exact_avg("score").alias("avg_review_score"),
+            exact_sum("spent").alias("total_revenue"),
             F.avg(F.when(F.col("order_status") == "canceled", 1).otherwise(0)).alias(
                 "cancellation_rate"
             ),
