@@ -15,46 +15,38 @@ TAIL_LENGTH = 4000
 
 def read_logs(spark: SparkSession, path: str, name: str = "stdout.gz") -> DataFrame:
     """(path, text) of every log file of that name below ``path``; gzip is unpacked."""
-    return (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", name)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
 
+def scan_failures(logs: DataFrame) -> DataFrame:
+    """Per log: depth of its path, kind of failure, the excerpt, and the end of the text.
 
-def _failures(logs: DataFrame) -> DataFrame:
-    text = F.col("text")
-    analysis_at = F.locate(ANALYSIS, text)
-    start = F.greatest(analysis_at - ANALYSIS_BEFORE, F.lit(1))
-    kind = F.when(text.contains(TRACEBACK), "traceback").when(analysis_at > 0, "analysis")
-    excerpt = F.when(
-        F.col("kind") == "traceback",
-        F.substring(text, F.locate("Traceback", text), F.lit(TRACEBACK_LENGTH)),
-    ).when(
-        F.col("kind") == "analysis",
-        F.substring(text, start, analysis_at + ANALYSIS_AFTER - start),
+    Clean logs have a null kind and excerpt. Order the result by depth and path to read it the
+    way ``first_failure`` does; the scan itself needs no shuffle.
+    """
+    text, at = F.col("text"), F.col("at")
+    traced = text.contains(TRACEBACK)
+    found = logs.withColumns(
+        {
+            "traced": traced,
+            "at": F.when(traced, F.locate("Traceback", text)).otherwise(F.locate(ANALYSIS, text)),
+        }
+    )
+    start = F.greatest(at - ANALYSIS_BEFORE, F.lit(1))
+    excerpt = F.when(F.col("traced"), F.substring(text, at, F.lit(TRACEBACK_LENGTH))).when(
+        at > 0, F.substring(text, start, at + ANALYSIS_AFTER - start)
     )
     depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
-    return logs.withColumn("kind", kind).select(
+    return found.select(
         "path",
         depth.alias("depth"),
-        "kind",
+        F.when(F.col("traced"), "traceback").when(at > 0, "analysis").alias("kind"),
         excerpt.alias("excerpt"),
         F.right(text, F.lit(TAIL_LENGTH)).alias("tail"),
     )
 
 
-def scan_failures(logs: DataFrame) -> DataFrame:
-    """Per log: depth of its path, kind of failure, the excerpt, and the end of the text.
-
-    Clean logs have a null kind and excerpt. Sorted with the shallowest path first, so the
-    first row with a kind is the one to look at.
-    """
-    return _failures(logs).orderBy("depth", "path")
-
-
 def first_failure(logs: DataFrame) -> DataFrame:
     """The failure in the log with the shallowest path, as one row (or none)."""
-    return _failures(logs).filter(F.col("kind").isNotNull()).orderBy("depth", "path").limit(1)
+    return scan_failures(logs).filter(F.col("kind").isNotNull()).orderBy("depth", "path").limit(1)

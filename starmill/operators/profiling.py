@@ -16,11 +16,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def profile_columns(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+def profile_columns(
+    df: DataFrame,
+    quartiles: Sequence[float] = (0.25, 0.5, 0.75),
+    distinct_error: float | None = None,
+) -> DataFrame:
     """One row per column: type, counts, distinct values, and for numbers their distribution.
 
     The plain statistics are one aggregate without a shuffle. Distinct values and quartiles
-    come from value counts, which spread over (column, value) pairs.
+    come from value counts, which spread over (column, value) pairs. With ``distinct_error``
+    the distinct values are estimated to that relative error inside the plain aggregate.
     """
     numbers = set(numeric_columns(df))
     aggs, rows = [], []
@@ -36,6 +41,8 @@ def profile_columns(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75
             "std": F.stddev(number),
             "zeros": F.count(F.when(number == 0, 1)),
         }
+        if distinct_error is not None:
+            measures["distinct"] = F.approx_count_distinct(c, distinct_error)
         aggs += [m.alias(f"{k}_{i}") for k, m in measures.items()]
         rows.append(
             F.struct(
@@ -44,13 +51,14 @@ def profile_columns(df: DataFrame, quartiles: Sequence[float] = (0.25, 0.5, 0.75
                 *[F.col(f"{k}_{i}").alias(k) for k in measures],
             )
         )
-    plain = df.agg(*aggs).select(F.inline(F.array(*rows)))
-    distinct = (
-        value_counts(df, df.columns, "string")
-        .groupBy("column")
-        .agg(F.count("*").alias("distinct"))
-    )
-    result = plain.join(distinct, "column", "left").fillna(0, ["distinct"])
+    result = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if distinct_error is None:
+        distinct = (
+            value_counts(df, df.columns, "string")
+            .groupBy("column")
+            .agg(F.count("*").alias("distinct"))
+        )
+        result = result.join(distinct, "column", "left").fillna(0, ["distinct"])
     names = [f"p{round(q * 100)}" for q in quartiles]
     if not numbers:
         nothing = F.lit(None).cast("double")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starmill.functions import exact_sum
 from starmill.operators.quantiles import cut_points, exact_quantiles
 from starmill.operators.star import Tables, order_ids, per_order, star_join
-from starmill.plans.common import PURCHASE, delivered
+from starmill.plans.common import PURCHASE, delivered, with_purchase
 from starmill.plans.registry import mart
 
 # Segment names, best first.
@@ -33,12 +33,12 @@ def customer_rfm_segments(
 ) -> DataFrame:
     """Recency, frequency and spending of each person over delivered orders.
 
-    An order counts if it has lines and payments. Each of the three measures scores one point
+    An order counts if it has a purchase time, lines and payments. Each of the three measures scores one point
     per quantile passed plus one; the sum of the points picks the segment by ``floors``.
     """
     paid = per_order(t["order_payments"], exact_sum("payment_value").alias("paid"))
     bought = (
-        star_join({**t, "orders": delivered(t["orders"])}, ["orders", "customers"])
+        star_join({**t, "orders": with_purchase(delivered(t["orders"]))}, ["orders", "customers"])
         .join(paid, "order_id")
         .join(order_ids(t["order_items"]), "order_id", "left_semi")
     )
