@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of a column in a single task, and a global window
 sorts the column in one. Here the values are counted first (a hot value becomes one row per
-task before the shuffle), a histogram of bounded length finds the bucket that holds each wanted
-rank, and only the values of those buckets are ranked.
+task before the shuffle), histograms of bounded length find the cell that holds each wanted
+rank, and only the values of those cells are ranked.
 """
 
 from __future__ import annotations
@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_E = 256
+BUCKETS_PER_E = 1024
+CELLS = 4096
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
@@ -32,50 +33,86 @@ def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") ->
 
 
 def _bucket(value: Column) -> Column:
-    """Monotone bucket number, about 0.4 % wide: the log scale suits any size of value."""
+    """Monotone bucket number: 0.1 % wide for large values, 0.001 wide near zero."""
     size = F.log1p(F.least(F.abs(value), F.lit(1e308)))
     return F.floor(F.signum(value) * size * BUCKETS_PER_E)
 
 
+def _ranks(probabilities: Sequence[float], held: str) -> Column:
+    """The wanted ranks, out of ``total``, that lie in start .. start + held - 1."""
+    listed = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    return F.expr(
+        f"filter(flatten(transform(array({listed}), p -> transform("
+        " array_distinct(array(floor((total - 1) * p), ceil((total - 1) * p))),"
+        " k -> named_struct('probability', p, 'rank', k,"
+        " 'share', (total - 1) * p - floor((total - 1) * p))))),"
+        f" w -> w.rank >= start AND w.rank < start + {held})"
+    )
+
+
+def _inside(counts: DataFrame, spans: DataFrame) -> DataFrame:
+    """The counted values of each span. Spans of a column do not overlap."""
+    bounds = F.broadcast(spans.withColumnRenamed("column", "of"))
+    match = (F.col("column") == F.col("of")) & F.col("value").between(F.col("low"), F.col("high"))
+    return counts.join(bounds, match).drop("of")
+
+
+def _spans(cells: DataFrame, span: list[str], probabilities: Sequence[float]) -> DataFrame:
+    """Number the values before each cell of a span; keep the cells that hold a wanted rank."""
+    whole = Window.partitionBy(*span)
+    earlier = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = cells.withColumn(
+        "start", F.col("before") + F.coalesce(F.sum("held").over(earlier), F.lit(0))
+    )
+    if "total" not in cells.columns:
+        numbered = numbered.withColumn("total", F.sum("held").over(whole))
+    return numbered.filter(F.size(_ranks(probabilities, "held")) > 0).select(
+        "column", "low", "high", F.col("start").alias("before"), "total"
+    )
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> DataFrame:
     """(column, probability, value), interpolated linearly between neighbouring ranks.
 
-    A window orders either the buckets of one column (a fixed number at most) or the distinct
-    values within one bucket. The broadcast side holds at most columns x probabilities x 2 rows.
+    Two histograms narrow the search: buckets on a logarithmic scale, then ``CELLS`` equally
+    wide cells in each bucket that holds a wanted rank. A window orders the buckets of a
+    column, the cells of a bucket, or the distinct values of a cell. The broadcast spans are at
+    most columns x probabilities x 2 rows.
     """
-    counts = value_counts(df, columns).withColumn("bucket", _bucket(F.col("value")))
-    whole = Window.partitionBy("column")
-    earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    position = F.col("probability") * (F.col("total") - 1).cast("double")
-    wanted = (
-        counts.groupBy("column", "bucket")
-        .agg(F.sum("n").alias("held"))
-        .withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
-        .withColumn("total", F.sum("held").over(whole))
-        .withColumn("probability", F.explode(F.array(*map(F.lit, probabilities))))
-        .withColumn("position", position)
-        .withColumn(
-            "rank",
-            F.explode(F.array_distinct(F.array(F.floor("position"), F.ceil("position")))),
+    counts = value_counts(df, columns)
+    measures = (
+        F.sum("n").alias("held"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.lit(0).cast("bigint").alias("before"),
+    )
+    buckets = counts.groupBy("column", _bucket(F.col("value")).alias("cell")).agg(*measures)
+    spans = _spans(buckets, ["column"], probabilities)
+
+    width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+    place = F.floor((F.col("value") - F.col("low")) / width * CELLS)
+    cells = (
+        _inside(counts, spans)
+        .groupBy(
+            "column", F.col("low").alias("bucket"), "before", "total",
+            F.coalesce(place, F.lit(0)).alias("cell"),
         )
-        .filter("before <= rank AND rank < before + held")
-        .withColumn("share", F.expr("position - floor(position)"))
-        .groupBy("column", "bucket", "before")
-        .agg(F.collect_list(F.struct("probability", "share", "rank")).alias("wanted"))
+        .agg(*measures[:3])
     )
+    spans = _spans(cells, ["column", "bucket"], probabilities)
+
     smaller = (
-        Window.partitionBy("column", "bucket")
+        Window.partitionBy("column", "low")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     low, high = F.min("value"), F.max("value")
     return (
-        counts.join(F.broadcast(wanted), ["column", "bucket"])
+        _inside(counts, spans)
         .withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(smaller), F.lit(0)))
-        .select("column", "value", "n", "start", F.inline("wanted"))
-        .filter("start <= rank AND rank < start + n")
+        .select("column", "value", F.inline(_ranks(probabilities, "n")))
         .groupBy("column", "probability")
         .agg((low + (high - low) * F.first("share")).alias("value"))
     )

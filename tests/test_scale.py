@@ -60,7 +60,7 @@ LARGE = {
     "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
 }
 JOINED_BY_LINE = ["monthly_revenue_summary", "yearly_average_revenue_by_category",
-                  "monthly_average_revenue_by_product", "product_category_order_count_monthly"]
+                  "monthly_average_revenue_by_product"]
 REDUCED_FIRST = ["order_count_by_quarter", "order_count_by_seller_state",
                  "order_count_by_state_and_category", "average_items_per_order_monthly",
                  "quarterly_revenue_summary", "freight_by_category",
