@@ -87,11 +87,16 @@ def _write_mart(spark: SparkSession, folder: str, name: str, **options) -> tuple
     return lake, gold.write_gold(df, lake, mart.target_table, mart.columns, **options)
 
 
-def sink_gold_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    _, path = _write_mart(spark, folder, "monthly_revenue_summary")
+def _written(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The mart as a stored table, for checks that read it more than once."""
+    _, path = _write_mart(spark, folder, name)
     return spark.read.parquet(path)
 
 
+def sink_gold_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    return _written(spark, folder, "monthly_revenue_summary")
+
+
 def sink_gold_partition_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """Write all years, then rewrite 1997 with doubled revenue; other years stay as written."""
     name = "monthly_revenue_summary"
@@ -166,7 +171,7 @@ def check_acceptance_sql(spark: SparkSession, folder: str) -> DataFrame:
         f"SELECT SUM(profit_margin) FROM {months}",
         f"SELECT seller_state, total_orders FROM {states} WHERE seller_state IS NOT NULL LIMIT 10",
     ]
-    marts = {n: _mart(spark, folder, n) for n in names}
+    marts = {n: _written(spark, folder, n) for n in names}
     return _rounded(checks.check_acceptance_sql(spark, marts, criteria))
 
 
@@ -224,13 +229,11 @@ def check_unique_grain(spark: SparkSession, folder: str) -> DataFrame:
 
 def check_reconcile_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """The written weight mart against a recomputation straight from the line items."""
-    _, path = _write_mart(spark, folder, "product_weight_summary_by_city")
+    table = _written(spark, folder, "product_weight_summary_by_city")
     wanted = ["orders", "order_items", "products", "customers"]
     lines = star.star_join(warehouse.bronze_tables(spark, folder, wanted), wanted)
     recomputed = lines.groupBy("customer_city").agg(F.sum("product_weight_g").alias("total_weight"))
-    return checks.check_reconcile(
-        spark.read.parquet(path), recomputed, ["customer_city"], ["total_weight"]
-    )
+    return checks.check_reconcile(table, recomputed, ["customer_city"], ["total_weight"])
 
 
 def check_period_scope(spark: SparkSession, folder: str) -> DataFrame:
@@ -246,7 +249,7 @@ def check_period_scope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_spot_value(spark: SparkSession, folder: str) -> DataFrame:
-    monthly = _mart(spark, folder, "average_installments_by_payment_type_monthly")
+    monthly = _written(spark, folder, "average_installments_by_payment_type_monthly")
     payments = _table(spark, folder, "order_payments")
     orders = _table(spark, folder, "orders")
     parts = []
@@ -267,7 +270,7 @@ def check_spot_value(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def check_non_empty(spark: SparkSession, folder: str) -> DataFrame:
-    freight = _mart(spark, folder, "freight_by_category")
+    freight = _written(spark, folder, "freight_by_category")
     return checks.union([
         checks.check_non_empty(freight),
         checks.check_non_empty(freight, CATEGORY),
@@ -294,11 +297,7 @@ def validation_report(spark: SparkSession, folder: str) -> DataFrame:
     lake, path = _write_mart(spark, folder, spec.name)
     table = spark.read.parquet(path)
     report = checks.validation_report({
-        "error": [
-            checks.check_rows(table, checks.mart_rules(spec)),
-            checks.check_unique_grain(table, spec.grain),
-            checks.check_non_empty(table),
-        ],
+        "error": checks.mart_checks(table, spec),
         "warning": [checks.check_rows(table, [checks.satisfies("total_orders >= 20")])],
     })
     audit = checks.append_audit(report, lake.gold_path("validation_audit"), "first run")

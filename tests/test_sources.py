@@ -11,7 +11,8 @@ from conftest import rows
 from starmill.functions import exact_avg, exact_sum, month_label, number_or_zero, parse_ts, quarter_label
 from starmill.operators import logs
 from starmill.sources import gold
-from starmill.sources.bronze import LakeConfig, conform, read_bronze, read_tables
+from starmill.jobs import run_mart
+from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronze, read_tables
 
 
 @pytest.fixture
@@ -195,3 +196,26 @@ def test_short_log_and_early_word(spark):
         "q": ("traceback", "Traceback word, then Traceback (most recent call last): boom"),
         "r": (None, None),
     }
+
+
+def test_job_from_csv_to_checked_gold(spark, tmp_path, shop):
+    lake = LakeConfig(str(tmp_path))
+    for name in starmill.spec("monthly_revenue_summary").sources:
+        conform(shop[name], name).write.options(**CSV_OPTIONS).csv(lake.bronze_path(name))
+    audit = run_mart(spark, lake, "monthly_revenue_summary", "run-1", register=True)
+    found = audit.collect()
+    assert len(found) == 5 and all(r.passed and r.overall_passed for r in found)
+    assert rows(spark.table("gold.monthly_revenue_summary")) == rows(
+        starmill.build("monthly_revenue_summary", shop))
+    again = run_mart(spark, lake, "monthly_revenue_summary", "run-2", target="gold.other",
+                     partition_by=["order_year"])
+    assert {r.run_id for r in again.collect()} == {"run-2"}
+    assert (tmp_path / "gold/other/order_year=2017").is_dir()
+
+
+def test_job_reports_a_broken_mart(spark, tmp_path, shop):
+    lake = LakeConfig(str(tmp_path), bronze_format="parquet")
+    conform(shop["orders"], "orders").write.parquet(lake.bronze_path("orders"))
+    failed = run_mart(spark, lake, "order_delivery_sla", "r").filter("NOT passed").collect()
+    assert [r.check for r in failed] == ["between: delivery_days"]  # delivered before bought
+    assert not failed[0].overall_passed
