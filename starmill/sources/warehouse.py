@@ -15,13 +15,13 @@ SCHEMAS: dict[str, str] = {
     "customer": "c_custkey bigint, c_nationkey int",
     "supplier": "s_suppkey bigint, s_nationkey int",
     "part": "p_partkey bigint, p_type string, p_size int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp",
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
         " l_quantity double, l_extendedprice double, l_tax double, l_returnflag string,"
-        " l_linestatus string, l_shipdate timestamp_ntz"
+        " l_linestatus string, l_shipdate timestamp"
     ),
-    "events": "event_id bigint, ts timestamp_ntz, value double",
+    "events": "event_id bigint, ts timestamp, value double",
     "documents": "doc_id bigint, text string, source string",
 }
 
@@ -30,7 +30,10 @@ TRANSLATED = ("STANDARD", "ECONOMY", "MEDIUM", "SMALL", "LARGE")
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """One warehouse table; the declared schema saves the footer-reading job."""
+    """One warehouse table; the declared schema saves the footer-reading job.
+
+    Times without a zone are read as times of the session's zone, UTC by ``configure``.
+    """
     return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
@@ -41,13 +44,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey AS customer_id",
         "CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'"
         " ELSE 'canceled' END AS order_status",
-        "CAST(o_orderdate AS TIMESTAMP) AS order_purchase_timestamp",
+        "o_orderdate AS order_purchase_timestamp",
         f"{none} AS order_approved_at",
         f"{none} AS order_delivered_carrier_date",
-        "CASE WHEN o_orderkey % 37 != 0 THEN CAST(o_orderdate AS TIMESTAMP)"
-        " + make_dt_interval(CAST(1 + o_orderkey % 40 AS INT)) END"
+        "CASE WHEN o_orderkey % 37 != 0"
+        " THEN o_orderdate + make_dt_interval(CAST(1 + o_orderkey % 40 AS INT)) END"
         " AS order_delivered_customer_date",
-        "CAST(o_orderdate AS TIMESTAMP) + INTERVAL '24' DAY AS order_estimated_delivery_date",
+        "o_orderdate + INTERVAL '24' DAY AS order_estimated_delivery_date",
     )
 
 
@@ -57,7 +60,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         "l_linenumber AS order_item_id",
         "l_partkey AS product_id",
         "l_suppkey AS seller_id",
-        "CAST(l_shipdate AS TIMESTAMP) AS shipping_limit_date",
+        "l_shipdate AS shipping_limit_date",
         "l_extendedprice AS price",
         "l_extendedprice * l_tax AS freight_value",
     )
@@ -139,7 +142,7 @@ def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
         "event_id AS review_id",
         "event_id AS order_id",
         "1 + CAST(floor(value) AS INT) % 5 AS review_score",
-        "CAST(ts AS TIMESTAMP) AS review_creation_date",
+        "ts AS review_creation_date",
     )
 
 

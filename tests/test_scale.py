@@ -119,6 +119,13 @@ def test_scans_read_only_needed_columns(skewed):
     assert "struct<seller_id:bigint,seller_state:string>" in plan
 
 
+def test_periods_reach_the_scan(skewed, conf):
+    conf(spark__sql__maxMetadataStringLength="1000")
+    plan = starmill.build("period_revenue_total", skewed)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_purchase_timestamp,2016-01-01" in plan
+    assert "LessThan(order_purchase_timestamp,2019-01-01" in plan
+
+
 def test_top_values_are_cut_before_they_meet(skewed):
     top = profiling.profile_top_values(skewed["order_items"], ["order_id", "price"], 3)
     plan = top._jdf.queryExecution().executedPlan().toString()
