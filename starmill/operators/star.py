@@ -76,14 +76,18 @@ def order_ids(lines: DataFrame) -> DataFrame:
 def distinct_orders(lines: DataFrame, orders: DataFrame, keys: list[str], alias: str) -> DataFrame:
     """Distinct known orders per group of line attributes or order attributes.
 
-    Lines shrink to distinct (order, line attributes) pairs before they meet the orders. After
-    that join the rows lie by order_id, which the distinct count can use as they are.
+    Lines shrink to distinct (order, line attributes) pairs before they meet the orders, so an
+    order with very many lines is a few rows by then. That costs a second, smaller shuffle
+    where orders have few lines, and does not depend on AQE to split the hot order.
     """
     line_keys = [k for k in keys if k in lines.columns]
     pairs = lines.select("order_id", *line_keys).distinct()
     order_keys = [k for k in keys if k not in line_keys]
-    known = orders.select("order_id", *order_keys)
-    joined = pairs.join(known, "order_id", "inner" if order_keys else "left_semi")
+    if not order_keys:
+        known = pairs.join(orders.select("order_id"), "order_id", "left_semi")
+        return known.groupBy(*keys).agg(F.count("*").alias(alias))  # pairs are distinct
+    # After this join the rows lie by order_id, which the distinct count uses as they are.
+    joined = pairs.join(orders.select("order_id", *order_keys), "order_id")
     return joined.groupBy(*keys).agg(F.countDistinct("order_id").alias(alias))
 
 
