@@ -371,7 +371,7 @@ def chart_scatter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chart_composition(spark: SparkSession, folder: str) -> DataFrame:
-    gold_table = _mart(spark, folder, "product_weight_summary_by_city")
+    gold_table = _written(spark, folder, "product_weight_summary_by_city")
     return charts.composition(gold_table, "customer_city", "total_weight")
 
 

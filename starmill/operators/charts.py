@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions import (
@@ -24,6 +24,8 @@ SURFACE_POINTS = 120
 PIE_SLICES = 8
 LONG_LABEL = 15
 
+Label = Callable[[str, str], Column]
+
 
 def _total(metric: str):
     return F.sum(number_or_zero(metric)).alias(metric)
@@ -32,18 +34,22 @@ def _total(metric: str):
 def line(
     df: DataFrame,
     year: str,
-    month: str,
+    part: str,
     metric: str,
     years: Sequence[int] | None = None,
-    months: Sequence[int] | None = None,
+    parts: Sequence[int] | None = None,
+    label: Label = month_label,
 ) -> DataFrame:
-    """The metric per month in time order, inside the wanted scope."""
-    if years is not None and months is not None:
-        df = df.filter(in_period(year, month, years, months))
+    """The metric per month in time order, inside the wanted scope.
+
+    With ``label=quarter_label`` the ``part`` of the year is a quarter.
+    """
+    if years is not None and parts is not None:
+        df = df.filter(in_period(year, part, years, parts))
     return (
-        df.groupBy(year, month)
+        df.groupBy(year, part)
         .agg(_total(metric))
-        .select(month_label(year, month).alias("period"), metric)
+        .select(label(year, part).alias("period"), metric)
         .orderBy("period")
     )
 
@@ -59,16 +65,20 @@ def rank(df: DataFrame, category: str, metric: str, n: int = 10) -> DataFrame:
 
 
 def surface(
-    df: DataFrame, year: str, month: str, series: str, metric: str, points: int = SURFACE_POINTS
+    df: DataFrame,
+    year: str,
+    part: str,
+    series: str,
+    metric: str,
+    points: int = SURFACE_POINTS,
+    label: Label = month_label,
 ) -> DataFrame:
     """Period x series x metric for a 3-D chart, with dense axis positions from zero.
 
     Cut to ``points`` in period order; the positions are dense over the points that are shown.
     """
     shown = (
-        df.groupBy(
-            month_label(year, month).alias("period"), label_or_unknown(series).alias("series")
-        )
+        df.groupBy(label(year, part).alias("period"), label_or_unknown(series).alias("series"))
         .agg(_total(metric))
         .orderBy("period", "series")
         .limit(points)

@@ -70,7 +70,7 @@ def spec(name: str) -> MartSpec:
 
 
 def build(name: str, tables: Mapping[str, DataFrame], **args) -> DataFrame:
-    """The mart as a lazy DataFrame. ``tables`` may use entity or raw table names."""
+    """The mart as a DataFrame. ``tables`` may use entity or raw table names."""
     chosen = spec(name)
     have = {entity_name(t): df for t, df in tables.items()}
     missing = [s for s in chosen.sources if s not in have]

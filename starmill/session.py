@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from real sizes: it broadcasts a side only after measuring it, and splits
 # the partition of a hot join key. The "force" switch lets it split even where the join's
@@ -42,3 +42,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         app = spark.sparkContext.applicationId
         root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="run-"))
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the scratch folder now and read it from there.
+
+    For results that several branches of a plan need: each branch prunes columns in its own
+    way, so Spark would often compute them once per branch.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from conftest import rows
+from starmill.functions import quarter_label
 from starmill.operators import charts, profiling
 
 
@@ -84,6 +85,14 @@ def test_line_is_in_time_order(monthly):
     assert [tuple(r) for r in scoped.collect()] == [("2017-02", 7.0)]
 
 
+def test_quarters(spark):
+    df = spark.createDataFrame([(2017, 4, 1.0), (2017, 1, 2.0), (2016, 3, 3.0)], "y int, q int, v double")
+    found = charts.line(df, "y", "q", "v", label=quarter_label)
+    assert [tuple(r) for r in found.collect()] == [
+        ("2016-Q3", 3.0), ("2017-Q1", 2.0), ("2017-Q4", 1.0)
+    ]
+
+
 def test_rank_sorts_before_it_cuts(spark):
     # The largest categories come last: cutting first would lose them.
     df = spark.range(100).selectExpr("concat('c', id) AS c", "id AS v")

@@ -144,6 +144,20 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     assert starmill.scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_is_refused_on_a_cluster_without_a_shared_folder():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        starmill.scratch_dir(Cluster, "x")
+
+
 def test_sums_do_not_depend_on_row_order(spark):
     values = [0.1, 0.2, 0.3, 1e9 + 0.01, -1e9, 104997.88, 2.5, None, float("nan")]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
