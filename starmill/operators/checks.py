@@ -184,7 +184,9 @@ def check_non_empty(gold: DataFrame, column: str | None = None, minimum: int = 1
     )
 
 
-def check_allowlist(gold: DataFrame, column: str, allowed: DataFrame, allowed_column: str) -> DataFrame:
+def check_allowlist(
+    gold: DataFrame, column: str, allowed: DataFrame, allowed_column: str
+) -> DataFrame:
     """Every value of ``column`` occurs in the allowed list; observed counts the strangers."""
     values = gold.select(F.col(column).alias("v")).filter("v IS NOT NULL").distinct()
     known = allowed.select(F.col(allowed_column).alias("v")).distinct()

@@ -307,7 +307,8 @@ def order_delivery_sla(t: Tables) -> DataFrame:
 def sp_delivery_delays(t: Tables, state: str = "SP") -> DataFrame:
     """Delivery days of delivered orders in one state; negative spans are dropped."""
     local = t["customers"].filter(F.col("customer_state") == state)
-    orders = star_join({"orders": delivered(t["orders"]), "customers": local}, ["orders", "customers"])
+    chosen = {"orders": delivered(t["orders"]), "customers": local}
+    orders = star_join(chosen, ["orders", "customers"])
     return _latency(orders).filter(F.col("delivery_days") >= 0)
 
 

@@ -16,7 +16,8 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 
 def _paid_by_type(payments: DataFrame) -> DataFrame:
     """One row per order and payment type, so that an order's many payments shuffle as few."""
-    return payments.groupBy("order_id", "payment_type").agg(exact_sum("payment_value").alias("paid"))
+    paid = exact_sum("payment_value").alias("paid")
+    return payments.groupBy("order_id", "payment_type").agg(paid)
 
 
 @mart(

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from real sizes: it broadcasts a side only after measuring it, and splits
 # the partition of a hot join key. The "force" switch lets it split even where the join's
-# partitioning would otherwise have been reused by the next aggregate.
+# partitioning would otherwise have been reused by the next aggregate. Rows of one key compress
+# well, so the size from which a partition counts as hot is a quarter of Spark's default.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

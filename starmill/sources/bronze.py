@@ -75,7 +75,9 @@ def read_bronze(
     return reader.parquet(path)
 
 
-def read_tables(spark: SparkSession, lake: LakeConfig, names: Iterable[str]) -> dict[str, DataFrame]:
+def read_tables(
+    spark: SparkSession, lake: LakeConfig, names: Iterable[str]
+) -> dict[str, DataFrame]:
     return {entity_name(n): read_bronze(spark, lake, n) for n in names}
 
 

@@ -168,5 +168,8 @@ _BUILDERS = {
 }
 
 
-def bronze_tables(spark: SparkSession, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+def bronze_tables(
+    spark: SparkSession, folder: str, names: list[str] | None = None
+) -> dict[str, DataFrame]:
+    """The named raw tables, or all of them, by entity name."""
     return {n: _BUILDERS[n](spark, folder) for n in (names or _BUILDERS)}
