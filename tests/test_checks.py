@@ -78,6 +78,15 @@ def test_reconcile(spark, gold, bad):
     assert one(checks.check_reconcile(gold, off, keys, measures, tolerance=0.02)) == (True, 0)
 
 
+def test_reconcile_matches_null_keys_without_comparing_all_pairs(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    table = spark.createDataFrame([(None, 1.0), ("a", 2.0)], "k string, v double")
+    result = checks.check_reconcile(table, table, ["k"], ["v"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan
+    assert one(result) == (True, 0)
+
+
 def test_spot_value(gold):
     at = {"order_year": 2017, "order_month": 2}
     doubled = gold.withColumn("total_revenue", gold.total_revenue * 2)
