@@ -21,6 +21,12 @@ from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronz
 
 from oracle_queries import ORACLE  # noqa: E402
 
+try:  # The training-data operators are optional: their folder may be absent.
+    import corpus_pipeline  # noqa: E402
+    from starmill.llm import queries as llm_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 # The given tables hold the years 1995 to 2001.
 YEARS, MONTHS = [1996, 1997, 1998], [1, 2, 3]
 
@@ -419,8 +425,16 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: partial(_mart, name=name) for name in starmill.mart_names()}
     found.update({f.__name__: f for f in _OPERATORS})
+    if llm_queries:
+        found.update(llm_queries.queries())
+        found["pipeline"] = corpus_pipeline.run
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    found = dict(ORACLE)
+    if llm_queries:
+        found.update(llm_queries.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
