@@ -6,20 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import exact_dedup, quality_rules
+from starmill.llm import exact_dedup, language_id, packing, quality_rules, simhash
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
 
 
+def tokenizer_file() -> str:
+    """Where this machine has the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, folder, "documents"))
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents")).drop("file", "row")
 
 
-_QUERIES = (op1_quality_rules, op7_exact_dedup)
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_file())
+
+
+_QUERIES = (
+    op1_quality_rules, op2_language_id, op3_simhash, op7_exact_dedup, op10_packing,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
