@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import exact_dedup, language_id, packing, quality_rules, simhash
+from starmill.llm import (
+    bpe, exact_dedup, html_extract, language_id, packing, quality_classifier, quality_rules, simhash,
+)
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
 
@@ -30,16 +32,31 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.score_quality(
+        table(spark, folder, "documents"), table(spark, folder, "labels")
+    )
+
+
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), tokenizer_file())
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents")).drop("file", "row")
 
 
+def op9_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages"))
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file())
 
 
 _QUERIES = (
-    op1_quality_rules, op2_language_id, op3_simhash, op7_exact_dedup, op10_packing,
+    op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op6_bpe,
+    op7_exact_dedup, op9_html_extract, op10_packing,
 )
 
 
