@@ -26,7 +26,12 @@ from pyspark.sql import functions as F
 from starmill.llm.common import free_names, named
 from starmill.session import scratch_dir, stored
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; without fallocate, since each of many small stores would reserve megabytes.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 ARRIVALS = "digest string, doc_id long, file string, row long"
 
 
@@ -66,9 +71,9 @@ def _order() -> Column:
 
 def seen_state(spark: SparkSession, arrivals: str, folder: str) -> DataFrame:
     """Stream the arrivals stored at one path; one row per digest from the state in ``folder``."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, PROVIDER)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         query = (
             spark.readStream.schema(ARRIVALS).parquet(arrivals)
@@ -81,7 +86,8 @@ def seen_state(spark: SparkSession, arrivals: str, folder: str) -> DataFrame:
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     state = spark.read.format("statestore").load(folder)
     # The state's value holds the aggregates in the order in which they were declared.
     keep, size = [f"value.`{f.name}`" for f in state.schema["value"].dataType.fields][-2:]
