@@ -64,7 +64,39 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+CHAT_FORMAT = """
+WITH rows AS (
+    SELECT coalesce(conv_id::VARCHAR, '') AS conv_id, turn, role, coalesce(text, '') AS text
+    FROM conversations
+), calls AS (
+    SELECT * FROM rows WHERE role = 'user' AND turn IS NOT NULL
+), results AS (
+    SELECT * FROM rows WHERE role = 'assistant' AND turn IS NOT NULL
+), linked AS (
+    SELECT coalesce(c.conv_id, r.conv_id) AS conv_id,
+           'call-' || coalesce(c.turn, r.turn - 1) AS call_id,
+           coalesce(c.turn, r.turn) AS turn, coalesce(c.turn, r.turn) AS order_key,
+           CASE WHEN c.turn IS NULL THEN 'orphan' WHEN r.turn IS NULL THEN 'open' ELSE 'linked' END
+               AS status,
+           (c.turn IS NOT NULL)::BIGINT AS copies, c.turn IS NOT NULL AS valid, '' AS errors,
+           CASE WHEN c.turn IS NOT NULL THEN '{"arguments":{"prompt":' || to_json(c.text)::VARCHAR
+               || ',"turn":' || c.turn || '},' ELSE '{' END
+           || '"call_id":"call-' || coalesce(c.turn, r.turn - 1) || '"'
+           || coalesce(',"content":' || to_json(r.text)::VARCHAR, '')
+           || CASE WHEN c.turn IS NOT NULL THEN ',"name":"reply"}' ELSE '}' END AS json
+    FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.turn + 1 = r.turn
+)
+SELECT * FROM linked
+UNION ALL
+SELECT conv_id, '', turn, turn, 'message', 1, true, '',
+       '{"content":' || to_json(text)::VARCHAR
+       || coalesce(',"role":' || to_json(role)::VARCHAR, '') || '}'
+FROM rows
+WHERE NOT coalesce(role IN ('user', 'assistant') AND turn IS NOT NULL, false)
+"""
+
 ORACLE = {
     "op1_quality_rules": QUALITY_RULES,
     "op7_exact_dedup": EXACT_DEDUP,
+    "op8_chat_format": CHAT_FORMAT,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
-    bpe, exact_dedup, html_extract, language_id, packing, quality_classifier, quality_rules, simhash,
+    bpe, chat_format, exact_dedup, html_extract, language_id, packing, quality_classifier,
+    quality_rules, secret_scan, simhash,
 )
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
@@ -38,6 +39,10 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer_file())
 
@@ -46,6 +51,10 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents")).drop("file", "row")
 
 
+def op8_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, folder, "conversations"))
+
+
 def op9_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(table(spark, folder, "pages"))
 
@@ -55,8 +64,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES = (
-    op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op6_bpe,
-    op7_exact_dedup, op9_html_extract, op10_packing,
+    op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op5_secret_scan,
+    op6_bpe, op7_exact_dedup, op8_chat_format, op9_html_extract, op10_packing,
 )
 
 
