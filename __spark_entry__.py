@@ -15,11 +15,11 @@ from pyspark.sql import functions as F  # noqa: E402
 import starmill  # noqa: E402
 from starmill.functions import in_period  # noqa: E402
 from starmill.operators import charts, checks, logs, profiling, star  # noqa: E402
-from starmill.plans.common import CATEGORY  # noqa: E402
+from starmill.plans.common import CATEGORY, in_months  # noqa: E402
 from starmill.sources import gold, warehouse  # noqa: E402
 from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronze  # noqa: E402
 
-from oracle_queries import ORACLE  # noqa: E402
+from oracle_queries import ORACLE, ORACLE_DIGITS, ORACLE_NUDGE  # noqa: E402
 
 try:  # The training-data operators are optional: their folder may be absent.
     import corpus_pipeline  # noqa: E402
@@ -45,10 +45,10 @@ MART_ARGS: dict[str, dict] = {
 }
 
 
-def _mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _mart(spark: SparkSession, folder: str, name: str, **args) -> DataFrame:
     starmill.configure(spark)
     tables = warehouse.bronze_tables(spark, folder, list(starmill.spec(name).sources))
-    return starmill.build(name, tables, **MART_ARGS.get(name, {}))
+    return starmill.build(name, tables, **{**MART_ARGS.get(name, {}), **args})
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -110,7 +110,9 @@ def sink_gold_partition_overwrite(spark: SparkSession, folder: str) -> DataFrame
     again = _mart(spark, folder, name).filter("order_year = 1997").withColumn(
         "total_revenue", F.col("total_revenue") * 2
     )
-    gold.write_gold(again, lake, f"gold.{name}", partition_by=["order_year"])
+    gold.write_gold(
+        again, lake, f"gold.{name}", partition_by=["order_year"], replace_partitions=True
+    )
     return spark.read.parquet(path)
 
 
@@ -129,7 +131,7 @@ def gold_preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def filter_period_in(spark: SparkSession, folder: str) -> DataFrame:
-    return _mart(spark, folder, "monthly_revenue_summary").filter(
+    return _mart(spark, folder, "monthly_revenue_summary", years=YEARS, months=MONTHS).filter(
         in_period("order_year", "order_month", YEARS, MONTHS)
     )
 
@@ -161,24 +163,21 @@ def star_join(spark: SparkSession, folder: str) -> DataFrame:
 # --- checks ------------------------------------------------------------------------------
 
 
-def _rounded(results: DataFrame) -> DataFrame:
-    return results.withColumn("observed", F.round("observed", 2))
-
-
 def check_acceptance_sql(spark: SparkSession, folder: str) -> DataFrame:
     names = ["monthly_revenue_summary", "order_count_by_seller_state"]
     months, states = (f"gold.{n}" for n in names)
     criteria = [
-        f"SELECT COUNT(*) FROM {months} WHERE year IN (1996, 1997, 1998) AND month IN (1, 2, 3)",
-        f"SELECT SUM(revenue) FROM {months} WHERE year = 1996 AND month = 1",
-        f"SELECT AVG(total_revenue) FROM {months} WHERE year = 1997 AND month = 2",
-        f"SELECT MAX(total_revenue) FROM {months} WHERE year = 1998 AND month = 3",
-        f"SELECT SUM(revenue) FROM {months} WHERE year = 2023",
-        f"SELECT SUM(profit_margin) FROM {months}",
-        f"SELECT seller_state, total_orders FROM {states} WHERE seller_state IS NOT NULL LIMIT 10",
+        f"SELECT count(*) AS n FROM {months} WHERE year BETWEEN 1996 AND 1998 AND month < 4",
+        f"SELECT sum(revenue) AS spring FROM {months} WHERE year = 1996 AND month = 4",
+        f"SELECT avg(total_revenue) AS mean FROM {months} WHERE order_year = 1997",
+        f"SELECT sum(revenue) AS future FROM {months} WHERE year > 2100",
+        f"SELECT sum(margin) AS margin FROM {months}",
+        f"SELECT DISTINCT seller_state FROM {states}",
+        f"SELECT total_orders FROM {states} WHERE total_orders > 0",
+        f"SELECT seller_state, total_orders FROM {states} WHERE total_orders < 0",
     ]
     marts = {n: _written(spark, folder, n) for n in names}
-    return _rounded(checks.check_acceptance_sql(spark, marts, criteria))
+    return checks.check_acceptance_sql(spark, marts, criteria)
 
 
 def check_row_predicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,9 +235,12 @@ def check_unique_grain(spark: SparkSession, folder: str) -> DataFrame:
 def check_reconcile_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """The written weight mart against a recomputation straight from the line items."""
     table = _written(spark, folder, "product_weight_summary_by_city")
-    wanted = ["orders", "order_items", "products", "customers"]
+    wanted = ["orders", "order_items", "customers"]
     lines = star.star_join(warehouse.bronze_tables(spark, folder, wanted), wanted)
-    recomputed = lines.groupBy("customer_city").agg(F.sum("product_weight_g").alias("total_weight"))
+    shipped = lines.groupBy("customer_city", "product_id").agg(F.count("*").alias("n"))
+    weight = F.sum(F.col("product_weight_g") * F.col("n")).alias("total_weight")
+    products = _table(spark, folder, "products")
+    recomputed = shipped.join(products, "product_id").groupBy("customer_city").agg(weight)
     return checks.check_reconcile(table, recomputed, ["customer_city"], ["total_weight"])
 
 
@@ -256,23 +258,22 @@ def check_period_scope(spark: SparkSession, folder: str) -> DataFrame:
 
 def check_spot_value(spark: SparkSession, folder: str) -> DataFrame:
     monthly = _written(spark, folder, "average_installments_by_payment_type_monthly")
-    payments = _table(spark, folder, "order_payments")
-    orders = _table(spark, folder, "orders")
-    parts = []
-    for kind, year, month in (("credit_card", 1997, 1), ("boleto", 1998, 12)):
-        at = {"payment_type": kind, "year": year, "month": month}
-        raw = (
-            payments.join(orders, "order_id")
-            .withColumn("year", F.year("order_purchase_timestamp"))
-            .withColumn("month", F.month("order_purchase_timestamp"))
-            .groupBy(*at)
-            .agg(
-                (F.sum("payment_installments") / F.count("payment_installments"))
-                .alias("average_installments")
-            )
+    spots = [
+        {"payment_type": "credit_card", "year": 1997, "month": 1},
+        {"payment_type": "boleto", "year": 1998, "month": 12},
+    ]
+    orders = in_months(_table(spark, folder, "orders"), [1997, 1998], [1, 12])
+    raw = (
+        _table(spark, folder, "order_payments").join(orders, "order_id")
+        .withColumn("year", F.year("order_purchase_timestamp"))
+        .withColumn("month", F.month("order_purchase_timestamp"))
+        .groupBy("payment_type", "year", "month")
+        .agg(
+            (F.sum("payment_installments") / F.count("payment_installments"))
+            .alias("average_installments")
         )
-        parts.append(checks.check_spot_value(monthly, raw, at, "average_installments"))
-    return checks.union(parts)
+    )
+    return checks.check_spot_values(monthly, raw, spots, "average_installments")
 
 
 def check_non_empty(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,8 +315,7 @@ def validation_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_columns(spark: SparkSession, folder: str) -> DataFrame:
-    profile = profiling.profile_columns(join_translation_left(spark, folder))
-    return profile.withColumn("std", F.round("std", 6))
+    return profiling.profile_columns(join_translation_left(spark, folder))
 
 
 def profile_top_values(spark: SparkSession, folder: str) -> DataFrame:
@@ -330,10 +330,9 @@ def profile_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def profile_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = profiling.profile_correlation(
+    return profiling.profile_correlation(
         _table(spark, folder, "order_items"), ["price", "freight_value", "order_item_id"]
     )
-    return pairs.withColumn("correlation", F.round("correlation", 6))
 
 
 def profile_smoke(spark: SparkSession, folder: str) -> DataFrame:
@@ -350,9 +349,8 @@ def profile_smoke(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chart_preview_line(spark: SparkSession, folder: str) -> DataFrame:
-    gold_table = _mart(spark, folder, "monthly_revenue_summary")
-    shown = charts.line(gold_table, "order_year", "order_month", "total_revenue", YEARS, MONTHS)
-    return shown.withColumn("total_revenue", F.round("total_revenue", 2))
+    gold_table = _mart(spark, folder, "monthly_revenue_summary", years=YEARS, months=MONTHS)
+    return charts.line(gold_table, "order_year", "order_month", "total_revenue", YEARS, MONTHS)
 
 
 def chart_rank_topn(spark: SparkSession, folder: str) -> DataFrame:
@@ -388,8 +386,8 @@ def chart_column_roles(spark: SparkSession, folder: str) -> DataFrame:
 # --- logs --------------------------------------------------------------------------------
 
 
-def log_failure_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The scan over logs made of the documents: a third fails one way, a third the other."""
+def _logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs made of the documents: a third fails one way, a third the other."""
     path = (
         "concat('containers/application_', source, CASE doc_id % 2 WHEN 0 THEN '/attempt/'"
         " ELSE '/' END, doc_id, '/stdout.gz') AS path"
@@ -400,8 +398,18 @@ def log_failure_scan(spark: SparkSession, folder: str) -> DataFrame:
         " WHEN 1 THEN concat(text, '\\npyspark.errors.AnalysisException: ', text)"
         " ELSE text END AS text"
     )
+    return warehouse.read(spark, folder, "documents").selectExpr(path, text)
+
+
+def log_failure_scan(spark: SparkSession, folder: str) -> DataFrame:
+    starmill.configure(spark)
+    return logs.scan_failures(_logs(spark, folder))
+
+
+def log_first_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The failure in the log with the shallowest path, over the same logs, by its place."""
     starmill.configure(spark)
-    return logs.scan_failures(warehouse.read(spark, folder, "documents").selectExpr(path, text))
+    return logs.first_failure(_logs(spark, folder)).select("path", "depth", "kind")
 
 
 _OPERATORS = (
@@ -413,7 +421,7 @@ _OPERATORS = (
     check_category_allowlist, validation_report, profile_columns, profile_top_values,
     profile_histogram, profile_correlation, profile_smoke, chart_preview_line, chart_rank_topn,
     chart_surface, chart_grouped_bar, chart_scatter, chart_composition, chart_column_roles,
-    log_failure_scan,
+    log_failure_scan, log_first_failure,
 )
 
 
@@ -422,9 +430,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return _mart(spark, "/root/testdata/sf0.001", "monthly_revenue_summary")
 
 
+def _comparable(query: Callable, spark: SparkSession, folder: str) -> DataFrame:
+    """The query's result; doubles are rounded as in the SQL, which adds them up in another way."""
+    df = query(spark, folder)
+    return df.withColumns({
+        c: F.round(F.col(c) + float(ORACLE_NUDGE), ORACLE_DIGITS)
+        for c, kind in df.dtypes if kind == "double"
+    })
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: partial(_mart, name=name) for name in starmill.mart_names()}
     found.update({f.__name__: f for f in _OPERATORS})
+    found = {name: partial(_comparable, query) for name, query in found.items()}
     if llm_queries:
         found.update(llm_queries.queries())
         found["pipeline"] = corpus_pipeline.run

@@ -1,6 +1,6 @@
 """``spark-submit`` entry: build, check and register one mart.
 
-The lake comes from the environment: S3_DATA_BUCKET, S3_BRONZE_PREFIX, S3_GOLD_PREFIX,
+The lake comes from the environment, in variables with fixed names: S3_DATA_BUCKET, S3_BRONZE_PREFIX, S3_GOLD_PREFIX,
 BRONZE_FORMAT, and TARGET_TABLE for another name than the mart's own.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 from starmill.jobs import run_mart
 from starmill.plans.registry import mart_names
+from starmill.session import release_scratch
 from starmill.sources.bronze import LakeConfig
 
 
@@ -34,6 +35,7 @@ def main() -> int:
         partition_by=options.partition_by,
         register=options.register,
     ).collect()  # one row per check
+    release_scratch(spark)
     for row in results:
         print("ok  " if row.passed else "FAIL", row.check, "-", row.message)
     spark.stop()

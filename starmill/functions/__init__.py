@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,29 +19,47 @@ def parse_ts(column: str | Column) -> Column:
 
 
 def number(column: str | Column) -> Column:
-    """A double in which NaN counts as missing."""
-    return F.nanvl(_as_column(column).cast("double"), F.lit(None))
+    """A double in which NaN and the infinities count as missing."""
+    value = _as_column(column).cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
-def exact_sum(column: str | Column, scale: int = 4) -> Column:
-    """Sum of doubles, each rounded to ``scale`` decimals, that does not depend on row order.
+# Sums split a value's size into limbs of this many bits; larger values are added up as they are.
+LIMB_BITS = 24
+LARGEST_SPLIT = 2.0**62
 
-    A plain sum of doubles changes in its last digits from run to run, and after a lost
-    executor; a gold table should not. Whole and fractional parts are summed as 64-bit
-    integers, which is as fast as summing doubles and does not overflow before 9e18. Only the
-    group's result becomes a decimal. NaN counts as missing.
-    """
-    value = number(column)
-    whole = F.floor(value)
-    part = F.floor((value - whole) * 10**scale + 0.5)
-    unit = F.lit(Decimal(1).scaleb(-scale))
-    total = F.sum(whole).cast("decimal(19,0)") + F.sum(part).cast("decimal(19,0)") * unit
-    return total.cast("double")
 
+def exact_sum(column: str | Column) -> Column:
+    """Sum of doubles that does not depend on row order, and loses no digits.
 
-def exact_avg(column: str | Column, scale: int = 4) -> Column:
+    A plain sum of doubles changes in its last digits from run to run, and after a lost
+    executor; a gold table should not. Here each value is split into whole-number limbs of
+    24 bits, down to 2**-72, whose sums are exact 64-bit integers (for 5e11 rows of a group),
+    and only the group's result becomes a double. Values from 2**62 on, which prices never
+    reach, are summed as doubles. NaN and infinite values count as missing.
+    """
+    value, base = number(column), float(2**LIMB_BITS)
+    small = F.when(F.abs(value) < LARGEST_SPLIT, F.abs(value))
+    sign = F.signum(value).cast("bigint")
+    whole = F.floor(small)
+    high = F.floor(whole.cast("double") / base)
+    limbs = [high, whole - high * 2**LIMB_BITS]
+    rest = small - whole
+    for _ in range(3):
+        rest = rest * base
+        limbs.append(F.floor(rest))
+        rest = rest - F.floor(rest)
+    total = F.lit(0.0)
+    for place, limb in reversed(list(enumerate(limbs))):
+        total = total + F.sum(limb * sign).cast("double") * base ** (1 - place)
+    # Large values alone, small ones alone, or both; null if there is neither.
+    large = F.sum(F.when(F.abs(value) >= LARGEST_SPLIT, value))
+    return F.coalesce(total + large, total, large)
+
+
+def exact_avg(column: str | Column) -> Column:
     """Mean over the non-missing values, as ``exact_sum`` adds them up."""
-    return exact_sum(column, scale) / F.count(number(column))
+    return exact_sum(column) / F.count(number(column))
 
 
 def days_between(end: str, start: str) -> Column:
@@ -64,9 +80,8 @@ def quarter_label(year: str, quarter: str) -> Column:
 
 
 def number_or_zero(column: str) -> Column:
-    """Chart value: bad, missing or NaN numbers count as zero."""
-    value = F.col(column).try_cast("double")
-    return F.coalesce(F.nanvl(value, F.lit(0.0)), F.lit(0.0))
+    """Chart value: bad, missing, NaN or infinite numbers count as zero."""
+    return F.coalesce(number(F.col(column).try_cast("double")), F.lit(0.0))
 
 
 def label_or_unknown(column: str) -> Column:

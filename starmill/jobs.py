@@ -10,7 +10,7 @@ from starmill.operators.checks import append_audit, mart_checks, validation_repo
 from starmill.plans.registry import build, spec
 from starmill.session import configure
 from starmill.sources.bronze import LakeConfig, read_tables
-from starmill.sources.gold import register_gold, write_gold
+from starmill.sources.gold import read_gold, register_gold, write_gold
 
 AUDIT = "validation_audit"
 
@@ -33,7 +33,7 @@ def run_mart(
     path = write_gold(mart, lake, target, chosen.columns, partition_by)
     if register:
         register_gold(spark, target, path, chosen.columns, partition_by)
-    table = spark.read.parquet(path)
+    table = read_gold(spark, path, chosen.columns)
     report = validation_report({"error": mart_checks(table, chosen)})
     audit = append_audit(report, lake.gold_path(AUDIT), run_id)
     return spark.read.parquet(audit).filter(f"run_id = '{run_id}'")

@@ -16,13 +16,10 @@ from starmill.functions import (
 )
 from starmill.operators.quantiles import value_counts
 
-# Column names that are read as time, and the limits of the charts.
+# Column names that are read as time.
 TIME_COLUMNS = (
     "order_year", "order_quarter", "order_month", "year", "month", "quarter", "order_date"
 )
-SURFACE_POINTS = 120
-PIE_SLICES = 8
-LONG_LABEL = 15
 
 Label = Callable[[str, str], Column]
 
@@ -70,26 +67,23 @@ def surface(
     part: str,
     series: str,
     metric: str,
-    points: int = SURFACE_POINTS,
     label: Label = month_label,
 ) -> DataFrame:
     """Period x series x metric for a 3-D chart, with dense axis positions from zero.
 
-    Cut to ``points`` in period order; the positions are dense over the points that are shown.
+    The positions come from the axes' distinct labels, so no window sees the points.
     """
-    shown = (
-        df.groupBy(label(year, part).alias("period"), label_or_unknown(series).alias("series"))
-        .agg(_total(metric))
-        .orderBy("period", "series")
-        .limit(points)
-    )
-    every = Window.partitionBy(F.lit(1))  # at most ``points`` rows
-    return shown.select(
-        "period",
-        "series",
-        metric,
-        (F.dense_rank().over(every.orderBy("period")) - 1).alias("period_idx"),
-        (F.dense_rank().over(every.orderBy("series")) - 1).alias("series_idx"),
+    points = df.groupBy(
+        label(year, part).alias("period"), label_or_unknown(series).alias("series")
+    ).agg(_total(metric))
+
+    def axis(name: str) -> DataFrame:
+        labels = points.select(name).distinct()
+        place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(name)) - 1
+        return labels.withColumn(f"{name}_idx", place)
+
+    return points.join(axis("period"), "period").join(axis("series"), "series").select(
+        "period", "series", metric, "period_idx", "series_idx"
     )
 
 
@@ -107,10 +101,10 @@ def scatter(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     )
 
 
-def composition(df: DataFrame, category: str, metric: str, slices: int = PIE_SLICES) -> DataFrame:
-    """Share of the total per category, largest first.
+def composition(df: DataFrame, category: str, metric: str) -> DataFrame:
+    """Share of the total per category, largest first, and the number of categories.
 
-    Up to ``slices`` categories make a pie; more of them make a bar chart of the largest.
+    Whether so many categories make a pie or a bar chart is for the caller to say.
     """
     parts = df.groupBy(label_or_unknown(category).alias(category)).agg(_total(metric))
     whole = parts.agg(
@@ -122,24 +116,27 @@ def composition(df: DataFrame, category: str, metric: str, slices: int = PIE_SLI
             category,
             metric,
             (F.col(metric) / F.nullif(F.col("whole.total"), F.lit(0.0))).alias("share"),
-            F.when(F.col("whole.categories") <= slices, "pie").otherwise("bar").alias("chart_type"),
+            F.col("whole.categories").alias("categories"),
         )
         .orderBy(F.desc(metric), category)
-        .limit(slices)
     )
 
 
-def column_roles(df: DataFrame) -> DataFrame:
+def column_roles(df: DataFrame, long_label: float = 15) -> DataFrame:
     """Classify every column as time, metric or category for chart selection.
 
-    A metric has only values that read as numbers (blank text is ignored). Categories with
-    long labels on average are drawn horizontally.
+    A metric has only values that read as numbers (blank text is ignored). Categories whose
+    labels are longer than ``long_label`` on average are marked as horizontal. A column without
+    values is a category without labels.
     """
     counts = value_counts(df, df.columns, "string").filter("value != ''")
     number = F.col("value").rlike(NUMBER_PATTERN)
-    position = {c: i for i, c in enumerate(df.columns)}
-    order = F.create_map(*[F.lit(x) for pair in position.items() for x in pair])
-    per_column = counts.groupBy("column").agg(
+    listed = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"))
+        for i, c in enumerate(df.columns)
+    ])
+    columns = df.sparkSession.range(1).select(F.inline(listed))
+    found = counts.groupBy("column").agg(
         F.sum("n").alias("n_values"),
         F.count("*").alias("n_distinct"),
         F.bool_and(number).alias("numeric"),
@@ -150,12 +147,14 @@ def column_roles(df: DataFrame) -> DataFrame:
         .when(F.col("numeric"), "metric")
         .otherwise("category")
     )
-    return per_column.select(
+    return columns.join(found, "column", "left").select(
         "column",
-        order[F.col("column")].alias("position"),
+        "position",
         role.alias("role"),
-        "n_values",
-        "n_distinct",
+        F.coalesce("n_values", F.lit(0)).alias("n_values"),
+        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
         F.when(role == "category", F.col("avg_label_length")).alias("avg_label_length"),
-        ((role == "category") & (F.col("avg_label_length") > LONG_LABEL)).alias("horizontal"),
+        F.coalesce(
+            (role == "category") & (F.col("avg_label_length") > long_label), F.lit(False)
+        ).alias("horizontal"),
     )

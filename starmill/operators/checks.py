@@ -7,6 +7,7 @@ count, a value), ``expected`` says in words what would have passed.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,6 +15,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.plans.registry import MartSpec
 
@@ -150,6 +152,44 @@ def check_reconcile(
     )
 
 
+def check_spot_values(
+    gold: DataFrame,
+    recomputed: DataFrame,
+    spots: Sequence[Mapping[str, object]],
+    measure: str,
+    tolerance: float = 0.005,
+) -> DataFrame:
+    """The measure at some keys equals the values recomputed for them; one pass over each side.
+
+    ``recomputed`` should be cut to the spots' periods before it is aggregated, where the cut
+    reaches the scan.
+    """
+    places = [reduce(Column.__and__, [F.col(k) == v for k, v in at.items()]) for at in spots]
+    wanted = reduce(Column.__or__, places)
+
+    def values(df: DataFrame) -> DataFrame:
+        return df.filter(wanted).agg(F.struct(*[
+            F.max(F.when(place, F.col(measure))).alias(f"v{i}") for i, place in enumerate(places)
+        ]).alias("at"))
+
+    both = values(gold).withColumn("want", values(recomputed).scalar())
+    rows = [
+        F.struct(
+            F.lit(i).alias("i"), F.col(f"at.v{i}").alias("found"), F.col(f"want.v{i}").alias("want"),
+            F.lit(f"spot value: {measure} at " + ", ".join(f"{k}={v}" for k, v in at.items()))
+            .alias("check"),
+        )
+        for i, at in enumerate(spots)
+    ]
+    close = F.abs(F.col("found") - F.col("want")) <= tolerance
+    return both.select(F.inline(F.array(*rows))).select(
+        "check",
+        F.coalesce(close, F.lit(False)).alias("passed"),
+        F.col("found").cast("double").alias("observed"),
+        F.lit(f"the value recomputed from bronze, within {tolerance:g}").alias("expected"),
+    )
+
+
 def check_spot_value(
     gold: DataFrame,
     recomputed: DataFrame,
@@ -157,18 +197,8 @@ def check_spot_value(
     measure: str,
     tolerance: float = 0.005,
 ) -> DataFrame:
-    """The measure at one key equals the value recomputed for that key."""
-    here = reduce(Column.__and__, [F.col(k) == v for k, v in at.items()])
-    expected = recomputed.filter(here).agg(F.max(measure)).scalar()
-    found = gold.filter(here).agg(F.max(measure).alias("found")).withColumn("want", expected)
-    where = ", ".join(f"{k}={v}" for k, v in at.items())
-    return _single(
-        found,
-        f"spot value: {measure} at {where}",
-        F.abs(F.col("found") - F.col("want")) <= tolerance,
-        F.col("found"),
-        f"the value recomputed from bronze, within {tolerance:g}",
-    )
+    """``check_spot_values`` for one key."""
+    return check_spot_values(gold, recomputed, [at], measure, tolerance)
 
 
 def check_non_empty(gold: DataFrame, column: str | None = None, minimum: int = 1) -> DataFrame:
@@ -212,28 +242,42 @@ def check_acceptance_sql(
     """Run acceptance queries over stored gold tables given by name.
 
     Every query reads its table anew, so pass tables that were written, not unwritten marts.
-    A query with one output column passes if its value is neither null nor zero. A listing
-    passes if it has rows. A query that names a missing table or column is a failed check.
+    One number passes if it is neither null nor zero. Anything else is a listing, which passes if
+    it has a row that is not all null. A query that names a missing table or column is a failed
+    check. The views that the queries name exist only while this function runs.
     """
-    prefix = "gold_view_"
+    prefix = f"gold_view_{uuid.uuid4().hex}_"
     for name, df in gold.items():
         with_aliases(df).createOrReplaceTempView(prefix + name)
-    results = []
-    for sql in criteria:
-        try:
-            found = spark.sql(re.sub(r"\bgold\.(?=\w)", prefix, sql))
-        except AnalysisException as error:
-            reason = (error.getCondition() or "ANALYSIS_ERROR").lower()
-            failed = spark.range(1).select(F.lit(None).cast("double").alias("v"))
-            results.append(_single(failed, sql, F.lit(False), F.col("v"), f"runs ({reason})"))
-            continue
-        if len(found.columns) == 1:
-            value = F.max(F.col(f"`{found.columns[0]}`").try_cast("double")).alias("v")
-            passed, expected = F.col("v") != 0, "not null and not zero"
-        else:
-            value, passed, expected = F.count("*").alias("v"), F.col("v") > 0, "some rows"
-        results.append(_single(found.agg(value), sql, passed, F.col("v"), expected))
-    return union(results)
+    try:
+        return union([_criterion(spark, sql, prefix) for sql in criteria])
+    finally:
+        for name in gold:
+            spark.catalog.dropTempView(prefix + name)
+
+
+def _criterion(spark: SparkSession, sql: str, prefix: str) -> DataFrame:
+    try:
+        found = spark.sql(re.sub(r"\bgold\.(?=\w)", prefix, sql))
+    except AnalysisException as error:
+        reason = (error.getCondition() or "ANALYSIS_ERROR").lower()
+        failed = spark.range(1).select(F.lit(None).cast("double").alias("v"))
+        return _single(failed, sql, F.lit(False), F.col("v"), f"runs ({reason})")
+    columns = [F.col(f"`{c}`") for c in found.columns]
+    filled = F.count(F.when(reduce(Column.__or__, [c.isNotNull() for c in columns]), 1))
+    number = len(columns) == 1 and isinstance(found.schema[0].dataType, T.NumericType)
+    value = F.max(columns[0].cast("double")) if number else F.lit(None).cast("double")
+    measured = found.agg(
+        F.count("*").alias("n"), filled.alias("filled"), value.alias("value")
+    )
+    alone = F.lit(number) & (F.col("n") == 1)
+    return _single(
+        measured,
+        sql,
+        F.when(alone, F.col("value") != 0).otherwise(F.col("filled") > 0),
+        F.when(alone, F.col("value")).otherwise(F.col("n")),
+        F.when(alone, F.lit("not null and not zero")).otherwise(F.lit("some rows")),
+    )
 
 
 def union(parts: Sequence[DataFrame]) -> DataFrame:

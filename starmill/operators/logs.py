@@ -5,45 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# What a failed driver prints, and how much of its log is shown.
+# What a failed driver prints, and the folders of the jobs' logs.
 TRACEBACK = "Traceback (most recent call last)"
 ANALYSIS = "AnalysisException"
-TRACEBACK_LENGTH = 8000
-ANALYSIS_BEFORE, ANALYSIS_AFTER = 200, 4000
-TAIL_LENGTH = 4000
+APPLICATION = "application_"
 
 
 def read_logs(spark: SparkSession, path: str, name: str = "stdout.gz") -> DataFrame:
-    """(path, text) of every log file of that name below ``path``; gzip is unpacked."""
+    """(path, text) of every application log of that name below ``path``; gzip is unpacked."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name)
-    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    logs = files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return logs.filter(F.col("path").contains(f"/{APPLICATION}"))
 
 
-def scan_failures(logs: DataFrame) -> DataFrame:
+def scan_failures(
+    logs: DataFrame, before: int = 0, after: int | None = None, tail: int | None = None
+) -> DataFrame:
     """Per log: depth of its path, kind of failure, the excerpt, and the end of the text.
 
-    Clean logs have a null kind and excerpt. Order the result by depth and path to read it the
-    way ``first_failure`` does; the scan itself needs no shuffle.
+    The excerpt begins at the marker of the failure and runs to the end of the log. A reader that
+    shows less of it can ask for ``before`` and ``after`` characters around the marker, and for
+    the last ``tail`` characters. Clean logs have a null kind and excerpt. Order the result by
+    depth and path to read it the way ``first_failure`` does; the scan itself needs no shuffle.
     """
-    text, at = F.col("text"), F.col("at")
-    traced = text.contains(TRACEBACK)
-    found = logs.withColumns(
-        {
-            "traced": traced,
-            "at": F.when(traced, F.locate("Traceback", text)).otherwise(F.locate(ANALYSIS, text)),
-        }
-    )
-    start = F.greatest(at - ANALYSIS_BEFORE, F.lit(1))
-    excerpt = F.when(F.col("traced"), F.substring(text, at, F.lit(TRACEBACK_LENGTH))).when(
-        at > 0, F.substring(text, start, at + ANALYSIS_AFTER - start)
+    text, traced = F.col("text"), F.col("text").contains(TRACEBACK)
+    at = F.when(traced, F.locate(TRACEBACK, text)).when(
+        text.contains(ANALYSIS), F.locate(ANALYSIS, text)
     )
+    start = F.greatest(F.col("at") - before, F.lit(1))
+    size = F.length(text) if after is None else F.col("at") + after - start
     depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
-    return found.select(
+    return logs.withColumns({"traced": traced, "at": at}).select(
         "path",
         depth.alias("depth"),
-        F.when(F.col("traced"), "traceback").when(at > 0, "analysis").alias("kind"),
-        excerpt.alias("excerpt"),
-        F.right(text, F.lit(TAIL_LENGTH)).alias("tail"),
+        F.when(F.col("traced"), "traceback").when(F.col("at") > 0, "analysis").alias("kind"),
+        F.when(F.col("at") > 0, F.substring(text, start, size)).alias("excerpt"),
+        (text if tail is None else F.right(text, F.lit(tail))).alias("tail"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.functions import number as known_number
 from starmill.operators.quantiles import exact_quantiles, value_counts
 
 
@@ -31,15 +32,17 @@ def profile_columns(
     aggs, rows = [], []
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
-        number = c.cast("double") if f.name in numbers else F.lit(None).cast("double")
+        known = known_number(c) if f.name in numbers else F.lit(None).cast("double")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.when(known.isNotNull(), c)  # NaN and the infinities are missing
         measures = {
             "count": F.count(c),
             "missing": F.count(F.when(c.isNull(), 1)),
             "min": F.min(c).cast("string"),
             "max": F.max(c).cast("string"),
-            "mean": F.avg(number),
-            "std": F.stddev(number),
-            "zeros": F.count(F.when(number == 0, 1)),
+            "mean": F.avg(known),
+            "std": F.stddev(known),
+            "zeros": F.count(F.when(known == 0, 1)),
         }
         if distinct_error is not None:
             measures["distinct"] = F.approx_count_distinct(c, distinct_error)
@@ -91,10 +94,15 @@ def profile_top_values(df: DataFrame, columns: Sequence[str], k: int = 5) -> Dat
 
 
 def profile_histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Equal-width bins per numeric column; the last bin includes the maximum."""
-    limits = df.agg(
-        *[F.min(F.col(c).cast("double")).alias(f"low_{c}") for c in columns],
-        *[F.max(F.col(c).cast("double")).alias(f"high_{c}") for c in columns],
+    """All ``bins`` equal-width bins of each numeric column, empty ones with count 0.
+
+    The last bin includes the maximum. NaN and the infinities count as missing; a column
+    without values has bins without edges. A column of one value has it in its first bin.
+    """
+    values = df.select(*[known_number(f"`{c}`").alias(c) for c in columns])
+    limits = values.agg(
+        *[F.min(f"`{c}`").alias(f"low_{i}") for i, c in enumerate(columns)],
+        *[F.max(f"`{c}`").alias(f"high_{i}") for i, c in enumerate(columns)],
     )
     edges = limits.select(
         F.inline(
@@ -102,35 +110,33 @@ def profile_histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) ->
                 *[
                     F.struct(
                         F.lit(c).alias("column"),
-                        F.col(f"low_{c}").alias("low"),
-                        F.col(f"high_{c}").alias("high"),
+                        F.col(f"low_{i}").alias("low"),
+                        F.col(f"high_{i}").alias("high"),
                     )
-                    for c in columns
+                    for i, c in enumerate(columns)
                 ]
             )
         )
     )
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
+    long = values.unpivot([], list(columns), "column", "value").filter("value IS NOT NULL")
     width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
     position = F.floor((F.col("value") - F.col("low")) / width * bins)
-    step = (F.col("high") - F.col("low")) / bins
-    return (
-        long.filter(F.col("value").isNotNull())
-        .join(F.broadcast(edges), "column")  # one row per column
+    counts = (
+        long.join(F.broadcast(edges), "column")  # one row per column
         .groupBy(
-            "column", "low", "high",
+            "column",
             F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int").alias("bin"),
         )
         .agg(F.count("*").alias("n"))
-        .select(
-            "column",
-            "bin",
-            (F.col("low") + F.col("bin") * step).alias("bin_start"),
-            (F.col("low") + (F.col("bin") + 1) * step).alias("bin_end"),
-            "n",
-        )
+    )
+    step = (F.col("high") - F.col("low")) / bins
+    every = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return every.join(counts, ["column", "bin"], "left").select(
+        "column",
+        "bin",
+        (F.col("low") + F.col("bin") * step).alias("bin_start"),
+        (F.col("low") + (F.col("bin") + 1) * step).alias("bin_end"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
@@ -155,14 +161,15 @@ def profile_correlation(df: DataFrame, columns: Sequence[str] | None = None) ->
 
 
 def profile_smoke(df: DataFrame) -> DataFrame:
-    """One row: row count, share of null cells, and rows that repeat another row."""
+    """One row: row count, share of null cells, and rows that repeat another row.
+
+    Only the repeated rows need a shuffle; the other two are one plain aggregate.
+    """
     cells = [F.col(f"`{c}`").isNull().cast("int") for c in df.columns]
-    alike = df.withColumn("nulls", sum(cells[1:], cells[0])).groupBy(*df.columns, "nulls").agg(
-        F.count("*").alias("n")
-    )
-    share = F.sum(F.col("nulls") * F.col("n")) / (F.sum("n") * len(cells))
-    return alike.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.coalesce(share, F.lit(0.0)).alias("null_share"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+    distinct = df.distinct().agg(F.count("*")).scalar()
+    share = F.sum(sum(cells[1:], cells[0])) / (F.count("*") * len(cells))
+    plain = df.agg(
+        F.count("*").alias("row_count"),
+        F.when(F.count("*") > 0, share).otherwise(0.0).alias("null_share"),
     )
+    return plain.withColumn("duplicate_rows", F.col("row_count") - distinct)

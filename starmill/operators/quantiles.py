@@ -3,7 +3,7 @@
 ``percentile`` keeps every distinct value of a column in a single task, and a global window
 sorts the column in one. Here the values are counted first (a hot value becomes one row per
 task before the shuffle), histograms of bounded length find the cell that holds each wanted
-rank, and only the values of those cells are ranked.
+rank, again and again, until a cell is a single value.
 """
 
 from __future__ import annotations
@@ -13,18 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_E = 1024
-CELLS = 4096
+BUCKETS_PER_E = 64
+CELLS = 1 << 16
+# A bucket spans 1/64 of its values' size, less than 2**47 neighbouring doubles; each round
+# of cells divides that by 2**16.
+ROUNDS = 3
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
-    """(column, value, n): how often every non-null value occurs in each of the columns."""
+    """(column, value, n): how often every known value occurs in each of the columns.
+
+    As doubles, whole numbers above 2**53 are rounded, and NaN and the infinities are left out.
+    """
     long = df.select(*[F.col(c).cast(kind).alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"
     )
     known = F.col("value").isNotNull()
     if kind == "double":
-        known &= ~F.isnan("value")
+        known &= F.abs("value") < float("inf")  # neither NaN
     return (
         long.filter(known)
         .groupBy("column", "value")
@@ -33,9 +39,9 @@ def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") ->
 
 
 def _bucket(value: Column) -> Column:
-    """Monotone bucket number: 0.1 % wide for large values, 0.001 wide near zero."""
-    size = F.log1p(F.least(F.abs(value), F.lit(1e308)))
-    return F.floor(F.signum(value) * size * BUCKETS_PER_E)
+    """Monotone bucket number, 1.6 % wide at every size of value; zero has one of its own."""
+    size = F.floor((F.ln(F.nullif(F.abs(value), F.lit(0.0))) + 746) * BUCKETS_PER_E) + 1
+    return F.coalesce((F.signum(value) * size).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _ranks(probabilities: Sequence[float], held: str) -> Column:
@@ -76,10 +82,11 @@ def exact_quantiles(
 ) -> DataFrame:
     """(column, probability, value), interpolated linearly between neighbouring ranks.
 
-    Two histograms narrow the search: buckets on a logarithmic scale, then ``CELLS`` equally
-    wide cells in each bucket that holds a wanted rank. A window orders the buckets of a
-    column, the cells of a bucket, or the distinct values of a cell. The broadcast spans are at
-    most columns x probabilities x 2 rows.
+    Histograms narrow the search: buckets on a logarithmic scale, then ``ROUNDS`` rounds of
+    ``CELLS`` equally wide cells in each span that holds a wanted rank. A window orders the
+    buckets of a column (about 100,000 for values of every size and sign there is), or the cells
+    of a span, and at last the values of a cell, which are one. The broadcast spans are at most
+    columns x probabilities x 2 rows.
     """
     counts = value_counts(df, columns)
     measures = (
@@ -90,31 +97,40 @@ def exact_quantiles(
     )
     buckets = counts.groupBy("column", _bucket(F.col("value")).alias("cell")).agg(*measures)
     spans = _spans(buckets, ["column"], probabilities)
+    for _ in range(ROUNDS):
+        spans = _spans(_cells(counts, spans, measures[:3]), ["column", "span"], probabilities)
+    low, high = F.min("value"), F.max("value")
+    return (
+        numbered_values(counts, spans)
+        .select("column", "value", F.inline(_ranks(probabilities, "n")))
+        .groupBy("column", "probability")
+        .agg((low + (high - low) * F.first("share")).alias("value"))
+    )
+
 
+def _cells(counts: DataFrame, spans: DataFrame, measures: Sequence[Column]) -> DataFrame:
+    """The values of each span, counted in ``CELLS`` equally wide cells."""
     width = F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
     place = F.floor((F.col("value") - F.col("low")) / width * CELLS)
-    cells = (
+    return (
         _inside(counts, spans)
         .groupBy(
-            "column", F.col("low").alias("bucket"), "before", "total",
+            "column", F.col("low").alias("span"), "before", "total",
             F.coalesce(place, F.lit(0)).alias("cell"),
         )
-        .agg(*measures[:3])
+        .agg(*measures)
     )
-    spans = _spans(cells, ["column", "bucket"], probabilities)
 
+
+def numbered_values(counts: DataFrame, spans: DataFrame) -> DataFrame:
+    """The values of each span, with the number of smaller values of the column as ``start``."""
     smaller = (
         Window.partitionBy("column", "low")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    low, high = F.min("value"), F.max("value")
-    return (
-        _inside(counts, spans)
-        .withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(smaller), F.lit(0)))
-        .select("column", "value", F.inline(_ranks(probabilities, "n")))
-        .groupBy("column", "probability")
-        .agg((low + (high - low) * F.first("share")).alias("value"))
+    return _inside(counts, spans).withColumn(
+        "start", F.col("before") + F.coalesce(F.sum("n").over(smaller), F.lit(0))
     )
 
 

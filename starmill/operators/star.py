@@ -94,8 +94,8 @@ def distinct_orders(lines: DataFrame, orders: DataFrame, keys: list[str], alias:
 def centroids(geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix: the mean position of its many geolocation rows."""
     return geolocation.groupBy("geolocation_zip_code_prefix").agg(
-        exact_avg("geolocation_lat", 8).alias("lat"),
-        exact_avg("geolocation_lng", 8).alias("lng"),
+        exact_avg("geolocation_lat").alias("lat"),
+        exact_avg("geolocation_lng").alias("lng"),
     )
 
 

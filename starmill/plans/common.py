@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.functions import exact_sum, number
 from starmill.operators.star import Tables, star_join, translated
 
 PURCHASE = "order_purchase_timestamp"
@@ -34,9 +35,28 @@ def with_purchase(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col(PURCHASE).isNotNull())
 
 
-def order_lines(t: Tables) -> DataFrame:
-    """Orders, items, products and the translated category, one row per line item."""
-    return star_join(t, LINES.split())
+def product_sums(t: Tables, *keys: Column) -> DataFrame:
+    """Lines per (period, product), before any product attribute is joined.
+
+    ``lines``: line items; ``priced``: those with a price; ``spent``: the sum of their prices.
+    After the join of lines and orders only this much is shuffled by product, so neither a hot
+    product nor a null category is ever a key at line grain.
+    """
+    return (
+        star_join(t, ["orders", "order_items"])
+        .groupBy(*keys, "product_id")
+        .agg(
+            F.count("*").alias("lines"),
+            F.count(number("price")).alias("priced"),
+            exact_sum("price").alias("spent"),
+        )
+    )
+
+
+def category_sums(t: Tables, *keys: Column, how: str = "left") -> DataFrame:
+    """``product_sums`` with the products' attributes and translated category."""
+    products = translated(t["products"], t["category_translation"], how)
+    return product_sums(t, *keys).join(products, "product_id")
 
 
 def item_categories(t: Tables, how: str = "left") -> DataFrame:

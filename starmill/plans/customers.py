@@ -12,7 +12,6 @@ from starmill.operators.quantiles import cut_points, exact_quantiles
 from starmill.operators.star import Tables, order_ids, per_order, star_join
 from starmill.plans.common import PURCHASE, delivered, with_purchase
 from starmill.plans.registry import mart
-from starmill.session import stored
 
 # Segment names, best first.
 SEGMENTS = ("Champion", "Loyal", "Potential", "At Risk", "Lost")
@@ -36,7 +35,7 @@ def customer_rfm_segments(
 
     An order counts if it has a purchase time, lines and payments. Each of the three measures
     scores one point per quantile passed plus one; the sum of the points picks the segment by
-    ``floors``. This mart alone writes while it is built: the people, whom it reads three times.
+    ``floors``.
     """
     paid = per_order(t["order_payments"], exact_sum("payment_value").alias("paid"))
     bought = (
@@ -55,7 +54,6 @@ def customer_rfm_segments(
         # Days before the epoch day order people as recency does, without knowing the last day.
         .withColumn("age", -F.unix_date("last_day"))
     )
-    people = stored(people, "rfm-people")
     measures = ["age", "frequency", "monetary"]
     cuts = cut_points(exact_quantiles(people, measures, quantiles), measures, quantiles)
     today = people.agg(F.max("last_day")).scalar()

@@ -12,10 +12,10 @@ from starmill.plans.common import (
     CATEGORY,
     LINES,
     PURCHASE,
+    category_sums,
     delivered,
     item_categories,
     month,
-    order_lines,
     quarter,
     with_purchase,
     year,
@@ -49,9 +49,9 @@ def order_count_by_quarter(t: Tables) -> DataFrame:
 def order_count_by_quarter_product_category(t: Tables) -> DataFrame:
     """Line items (not orders) per quarter and category; null periods and categories are kept."""
     return (
-        order_lines(t)
-        .groupBy(year("order_year"), quarter("order_quarter"), CATEGORY)
-        .agg(F.count("order_id").alias("order_count"))
+        category_sums(t, year("order_year"), quarter("order_quarter"))
+        .groupBy("order_year", "order_quarter", CATEGORY)
+        .agg(F.sum("lines").alias("order_count"))
     )
 
 
@@ -110,11 +110,10 @@ def order_count_by_state_and_category(t: Tables) -> DataFrame:
 )
 def product_category_order_count_monthly(t: Tables) -> DataFrame:
     """Line items per category and calendar month, over all years; translated categories only."""
-    products = translated(t["products"], t["category_translation"], "inner")
     return (
-        star_join({**t, "products": products}, ["orders", "order_items", "products"])
-        .groupBy("product_category_name", month("order_month"))
-        .agg(F.count("*").alias("order_count"))
+        category_sums(t, month("order_month"), how="inner")
+        .groupBy("product_category_name", "order_month")
+        .agg(F.sum("lines").alias("order_count"))
     )
 
 

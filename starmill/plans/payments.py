@@ -27,10 +27,14 @@ def _paid_by_type(payments: DataFrame) -> DataFrame:
 )
 def average_installments_by_payment_type_monthly(t: Tables) -> DataFrame:
     """Orders without a purchase time form a null period."""
+    paid = t["order_payments"].groupBy("order_id", "payment_type").agg(
+        F.sum("payment_installments").alias("installments"),
+        F.count("payment_installments").alias("n"),
+    )
     return (
-        star_join(t, ["orders", "order_payments"])
+        paid.join(t["orders"], "order_id")
         .groupBy("payment_type", year(), month())
-        .agg(F.avg("payment_installments").alias("average_installments"))
+        .agg((F.sum("installments") / F.nullif(F.sum("n"), F.lit(0))).alias("average_installments"))
     )
 
 

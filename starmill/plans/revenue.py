@@ -17,11 +17,11 @@ from starmill.operators.star import Tables, per_order, star_join
 from starmill.plans.common import (
     CATEGORY,
     LINES,
+    category_sums,
     delivered,
     in_months,
     item_categories,
     month,
-    order_lines,
     quarter,
     with_purchase,
     year,
@@ -42,18 +42,28 @@ FIRST_QUARTER = (1, 2, 3)
     not_null=(CATEGORY,),
     between={"order_month": (1, 12)},
 )
-def monthly_revenue_summary(t: Tables) -> DataFrame:
-    """Delivered revenue per month and category. Literal: orders and averages count line items."""
+def monthly_revenue_summary(
+    t: Tables, years: Sequence[int] | None = None, months: Sequence[int] | None = None
+) -> DataFrame:
+    """Delivered revenue per month and category. Literal: orders and averages count line items.
+
+    With ``years`` and ``months`` only those periods are read and computed.
+    """
+    orders = with_purchase(delivered(t["orders"]))
+    if years is not None and months is not None:
+        orders = in_months(orders, years, months)
+    items = t["order_items"].filter(F.col("price").isNotNull())
+    wanted = {**t, "orders": orders, "order_items": items}
+    spent = exact_sum("spent")
     return (
-        with_purchase(delivered(order_lines(t)))
-        .filter(F.col("price").isNotNull())
-        .groupBy(year("order_year"), month("order_month"), CATEGORY)
+        category_sums(wanted, year("order_year"), month("order_month"))
+        .filter(F.col(CATEGORY).isNotNull())
+        .groupBy("order_year", "order_month", CATEGORY)
         .agg(
-            exact_sum("price").alias("total_revenue"),
-            F.count("order_id").alias("total_orders"),
-            exact_avg("price").alias("avg_order_value"),
+            spent.alias("total_revenue"),
+            F.sum("lines").alias("total_orders"),
+            (spent / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_order_value"),
         )
-        .filter(F.col(CATEGORY).isNotNull())
     )
 
 
@@ -164,10 +174,11 @@ def _by_period(t: Tables, amount, *period) -> DataFrame:
 )
 def yearly_average_revenue_by_category(t: Tables) -> DataFrame:
     """Mean price of delivered lines; untranslated categories form a null group."""
+    priced = F.nullif(F.sum("priced"), F.lit(0))
     return (
-        delivered(order_lines(t))
-        .groupBy(CATEGORY, year())
-        .agg(exact_avg("price").alias("average_revenue"))
+        category_sums({**t, "orders": delivered(t["orders"])}, year())
+        .groupBy(CATEGORY, "year")
+        .agg((exact_sum("spent") / priced).alias("average_revenue"))
     )
 
 
@@ -218,8 +229,9 @@ def period_revenue_by_category(
     t: Tables, years: Sequence[int] = YEARS, months: Sequence[int] = FIRST_QUARTER
 ) -> DataFrame:
     """Revenue per month and category; the sum is over prices, not over repeated payments."""
+    wanted = {**t, "orders": in_months(t["orders"], years, months)}
     return (
-        order_lines({**t, "orders": in_months(t["orders"], years, months)})
-        .groupBy(year(), month(), CATEGORY)
-        .agg(exact_sum("price").alias("total_revenue"))
+        category_sums(wanted, year(), month())
+        .groupBy("year", "month", CATEGORY)
+        .agg(exact_sum("spent").alias("total_revenue"))
     )

@@ -69,9 +69,11 @@ def seller_performance_scorecard(
 def weekly_review_distribution(t: Tables) -> DataFrame:
     """Reviews of known orders per week (from Monday) and score."""
     week = F.to_date(F.date_trunc("week", "review_creation_date")).alias("review_week")
+    given = t["order_reviews"].groupBy("order_id", week, "review_score").agg(
+        F.count("*").alias("n")
+    )
     return (
-        t["order_reviews"]
-        .join(t["orders"].select("order_id"), "order_id")
-        .groupBy(week, "review_score")
-        .agg(F.count("*").alias("weekly_review_count"))
+        given.join(t["orders"].select("order_id"), "order_id")
+        .groupBy("review_week", "review_score")
+        .agg(F.sum("n").alias("weekly_review_count"))
     )

@@ -20,30 +20,60 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_local_scratch: dict[str, str] = {}
+_local_roots: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that the plans in this package rely on."""
+    """Apply the settings that the plans in this package rely on, for all of this session's queries.
+
+    The readers, operators and marts work without them; the batch job, the registered queries and
+    the tests call this, and a user who keeps other settings need not.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """The shared folder that the cluster names; a local session may have one of its own."""
+    root, local = spark.conf.get("spark.checkpoint.dir", None), _is_local(spark)
+    if root:
+        return root.rstrip("/")
+    if not local:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="run-")
+    return _local_roots[app]
+
+
+def _is_local(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared folder named by ``spark.checkpoint.dir``.
+    """The path of a new folder below the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local-mode session may fall back to a folder of this machine: on a cluster the
-    executors could not see it.
+    executors could not see it. ``release_scratch`` deletes what was written there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        root = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="run-"))
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete this application's scratch folders, when nothing reads them any more."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    deleted = 0
+    for path in paths:
+        where = hadoop.Path(path)
+        deleted += bool(where.getFileSystem(conf).delete(where, True))
+    return deleted
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

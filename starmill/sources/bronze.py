@@ -6,13 +6,16 @@ import os
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.functions import parse_ts
 from starmill.sources.schemas import BRONZE, CSV_FILES, entity_name, raw_table_name
 
 # Quotes inside a quoted CSV field are doubled.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Tables whose quoted fields hold line breaks; such a file is read by one task.
+MULTILINE = ("order_reviews",)
 
 
 @dataclass(frozen=True)
@@ -55,24 +58,32 @@ def read_bronze(
     infer_schema: bool = False,
     **csv_options: str,
 ) -> DataFrame:
-    """One raw table with its declared schema.
+    """One raw table with its declared columns and types, whatever types the files have.
 
-    A table without a known CSV file is read as Parquet. ``infer_schema`` costs one more pass
-    over a CSV file; it is meant for files that are not in the declared catalog.
+    Columns are found by name. Times kept as text are parsed and numbers are cast; a value that
+    cannot be read as its type is null. A CSV file must have every declared column in its header;
+    columns that a Parquet file lacks are null. A table without a known CSV file is read as
+    Parquet, and one that is not declared as it is. ``infer_schema`` leaves a CSV file's columns
+    as they are found, with inferred types, at the cost of one more pass.
     """
     entity = entity_name(table)
     fmt = (fmt or lake.bronze_format).lower()
     if fmt not in ("csv", "parquet"):
         raise ValueError(f"unknown bronze format {fmt!r}")
     path = lake.bronze_path(entity, fmt)
-    reader = spark.read
-    if infer_schema:
-        reader = reader.option("inferSchema", "true")
-    elif entity in BRONZE:
-        reader = reader.schema(BRONZE[entity])
-    if fmt == "csv" and entity in CSV_FILES:
-        return reader.options(**{**CSV_OPTIONS, **csv_options}).csv(path)
-    return reader.parquet(path)
+    if fmt == "parquet" or entity not in CSV_FILES:
+        found = spark.read.parquet(path)
+        return conform(found, entity) if entity in BRONZE else found
+    options = {**CSV_OPTIONS, "inferSchema": str(infer_schema).lower(), **csv_options}
+    if entity in MULTILINE:
+        options["multiLine"] = "true"
+    found = spark.read.options(**options).csv(path)
+    if infer_schema or entity not in BRONZE:
+        return found
+    missing = [c for c, _ in declared(entity) if c not in found.columns]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    return conform(found, entity)
 
 
 def read_tables(
@@ -81,10 +92,26 @@ def read_tables(
     return {entity_name(n): read_bronze(spark, lake, n) for n in names}
 
 
+def declared(table: str) -> list[tuple[str, str]]:
+    """Names and types of a raw table's columns."""
+    parts = BRONZE[entity_name(table)].split(",")
+    return [tuple(part.strip().split(" ")) for part in parts]
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """The columns and types of a raw table; columns that ``df`` lacks are null."""
-    fields = [part.strip().split(" ") for part in BRONZE[entity_name(table)].split(",")]
-    have = set(df.columns)
-    return df.select(
-        *[(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in fields]
-    )
+    """The columns and types of a raw table; columns that ``df`` lacks are null.
+
+    A column that has its type already stays as it is, so that filters on it reach the scan.
+    """
+    kinds = dict(df.dtypes)
+
+    def column(name: str, kind: str) -> Column:
+        if name not in kinds:
+            return F.lit(None).cast(kind)
+        if kinds[name] == kind:
+            return F.col(name)
+        if kind == "timestamp" and kinds[name] == "string":
+            return parse_ts(name)
+        return F.col(name).cast(kind) if kind == "string" else F.col(name).try_cast(kind)
+
+    return df.select(*[column(c, t).alias(c) for c, t in declared(table)])

@@ -33,10 +33,12 @@ def write_gold(
     columns: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    replace_partitions: bool = False,
 ) -> str:
     """Write one gold table as Parquet and return its path.
 
-    With ``partition_by`` an overwrite replaces only the partitions that ``df`` holds.
+    An overwrite replaces the whole table; with ``replace_partitions`` it replaces only the
+    partitions that ``df`` holds, and leaves the others as they are.
     """
     path = lake.gold_path(gold_name(target))
     if columns is not None:
@@ -46,11 +48,18 @@ def write_gold(
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        kind = "dynamic" if replace_partitions else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", kind)
     writer.parquet(path)
     return path
 
 
+def read_gold(spark: SparkSession, path: str, columns: Mapping[str, str]) -> DataFrame:
+    """A gold table with its declared types; partition values keep theirs ("007" stays text)."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in columns.items())
+    return spark.read.schema(schema).parquet(path).select(*columns)
+
+
 def register_gold(
     spark: SparkSession,
     target: str,

@@ -150,3 +150,18 @@ def test_every_mart_has_checkable_rules(shop):
         rules = checks.mart_rules(starmill.spec(name))
         if rules:
             assert checks.check_rows(starmill.build(name, shop), rules).count() == len(rules)
+
+
+def test_acceptance_listings_and_views(spark):
+    table = spark.createDataFrame([("a", 1), ("b", 0)], "state string, n int")
+    before = {t.name for t in spark.catalog.listTables()}
+    found = checks.check_acceptance_sql(spark, {"t": table}, [
+        "SELECT DISTINCT state FROM gold.t",
+        "SELECT n FROM gold.t",
+        "SELECT max(state) FROM gold.t WHERE n > 5",
+        "SELECT sum(n) FROM gold.t WHERE n = 0",
+        "SELECT state, n FROM gold.t WHERE n > 5",
+    ]).collect()
+    assert [(r.passed, r.observed) for r in found] == [
+        (True, 2.0), (True, 2.0), (False, 1.0), (False, 0.0), (False, 0.0)]
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -47,7 +47,9 @@ def test_histogram(sample, spark):
         ("v", 0, 0.0, 2.0, 1), ("v", 1, 2.0, 4.0, 1), ("v", 2, 4.0, 6.0, 2)
     ]
     same = spark.createDataFrame([(7.0,), (7.0,)], "v double")
-    assert rows(profiling.profile_histogram(same, ["v"], 4)) == [("v", 0, 7.0, 7.0, 2)]
+    assert rows(profiling.profile_histogram(same, ["v"], 4)) == [
+        ("v", 0, 7.0, 7.0, 2), ("v", 1, 7.0, 7.0, 0), ("v", 2, 7.0, 7.0, 0), ("v", 3, 7.0, 7.0, 0)
+    ]
 
 
 def test_correlation(spark):
@@ -108,11 +110,12 @@ def test_surface(monthly):
     ]
 
 
-def test_surface_has_at_most_120_points(spark):
+def test_surface_has_all_points(spark):
     df = spark.range(500).selectExpr(
         "2000 + id AS y", "1 AS m", "concat('s', id % 3) AS s", "id AS v")
     found = charts.surface(df, "y", "m", "s", "v").collect()
-    assert len(found) == 120 and max(r.period_idx for r in found) == 119
+    assert len(found) == 500 and sorted(r.period_idx for r in found) == list(range(500))
+    assert {r.series_idx for r in found} == {0, 1, 2}
 
 
 def test_grouped_bar_and_scatter(monthly):
@@ -123,10 +126,11 @@ def test_grouped_bar_and_scatter(monthly):
 
 def test_composition(spark, monthly):
     found = [tuple(r) for r in charts.composition(monthly, "category", "revenue").collect()]
-    assert found == [("books", 6.0, 0.5, "pie"), ("toys", 6.0, 0.5, "pie"), ("unknown", 0.0, 0.0, "pie")]
+    assert found == [("books", 6.0, 0.5, 3), ("toys", 6.0, 0.5, 3), ("unknown", 0.0, 0.0, 3)]
     many = spark.range(9).selectExpr("concat('c', id) AS c", "id + 1 AS v")
     bars = charts.composition(many, "c", "v").collect()
-    assert len(bars) == 8 and {r.chart_type for r in bars} == {"bar"} and bars[0].share == 9 / 45
+    assert len(bars) == 9 and {r.categories for r in bars} == {9} and bars[0].share == 9 / 45
+    assert sum(r.share for r in bars) == pytest.approx(1.0)
 
 
 def test_column_roles(spark):
@@ -139,3 +143,18 @@ def test_column_roles(spark):
         "order_year": ("time", 2, False), "category": ("category", 2, True),
         "text_number": ("metric", 2, False), "note": ("category", 1, False),
     }
+
+
+def test_histogram_has_empty_bins_and_no_nan(spark):
+    df = spark.createDataFrame(
+        [(0.0,), (10.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    found = rows(profiling.profile_histogram(df, ["v"], 5))
+    assert [(r[1], r[4]) for r in found] == [(0, 1), (1, 0), (2, 0), (3, 0), (4, 1)]
+    profile = profiling.profile_columns(df).first()
+    assert (profile["count"], profile.missing, profile.mean, profile["max"]) == (2, 3, 5.0, "10.0")
+
+
+def test_roles_list_columns_without_values(spark):
+    df = spark.createDataFrame([(None, "", 1)], "nothing string, blank string, n int")
+    found = {r["column"]: (r.position, r.role, r.n_values) for r in charts.column_roles(df).collect()}
+    assert found == {"nothing": (0, "category", 0), "blank": (1, "category", 0), "n": (2, "metric", 1)}

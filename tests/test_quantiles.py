@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from starmill.operators import quantiles
 from starmill.operators.quantiles import exact_quantiles
 
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.95, 0.999, 1.0]
@@ -42,3 +43,21 @@ def test_several_columns_at_once(spark):
         ("a", 0.5): 50.0, ("b", 0.5): 500.0,
         ("a", 0.905): pytest.approx(90.5), ("b", 0.905): pytest.approx(905.0),
     }
+
+
+def test_windows_see_few_values_whatever_the_distribution(spark, monkeypatch):
+    """400,000 values below 4e-7 and one of 0.0009: the last window ranks single values."""
+    df = spark.range(400_000).selectExpr("(id + 1) * 1e-12 AS v").unionAll(
+        spark.sql("SELECT 0.0009D AS v"))
+    seen = []
+    original = quantiles.numbered_values
+
+    def counted(counts, spans):
+        ranked = original(counts, spans)
+        seen.append(max(r["count"] for r in ranked.groupBy("column", "low").count().collect()))
+        return ranked
+
+    monkeypatch.setattr(quantiles, "numbered_values", counted)
+    found = exact_quantiles(df, ["v"], [0.5]).first().value
+    assert found == pytest.approx(200_001 * 1e-12, rel=1e-9)
+    assert seen == [1]

@@ -1,17 +1,20 @@
 """Readers, writers and the catalog."""
 
 import gzip
+import math
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import starmill
+from starmill import session
 from conftest import rows
 from starmill.functions import exact_avg, exact_sum, month_label, number_or_zero, parse_ts, quarter_label
 from starmill.operators import logs
 from starmill.sources import gold
 from starmill.jobs import run_mart
+from starmill.sources.schemas import CSV_FILES
 from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronze, read_tables
 
 
@@ -106,8 +109,11 @@ def test_partition_overwrite_keeps_other_partitions(spark, lake):
     first = spark.createDataFrame([(2016, 1), (2017, 2)], "y int, v int")
     second = spark.createDataFrame([(2017, 3)], "y int, v int")
     gold.write_gold(first, lake, "gold.parts", partition_by=["y"])
-    path = gold.write_gold(second, lake, "gold.parts", partition_by=["y"])
+    path = gold.write_gold(
+        second, lake, "gold.parts", partition_by=["y"], replace_partitions=True)
     assert rows(spark.read.parquet(path).select("y", "v")) == [(2016, 1), (2017, 3)]
+    path = gold.write_gold(second, lake, "gold.parts", partition_by=["y"])
+    assert rows(spark.read.parquet(path).select("y", "v")) == [(2017, 3)]
     path = gold.write_gold(second, lake, "gold.whole")
     assert rows(spark.read.parquet(gold.write_gold(first, lake, "gold.whole"))) == [
         (2016, 1), (2017, 2)
@@ -163,10 +169,22 @@ def test_sums_do_not_depend_on_row_order(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     forward = df.coalesce(1).sortWithinPartitions("i").agg(exact_sum("v"), exact_avg("v")).first()
     backward = df.coalesce(1).sortWithinPartitions(F.desc("i")).agg(exact_sum("v"), exact_avg("v")).first()
-    assert tuple(forward) == tuple(backward) == (105000.99, 105000.99 / 7)
+    exact = math.fsum(v for v in values if v is not None and v == v)
+    assert tuple(forward) == tuple(backward) == (exact, exact / 7)
     assert df.filter("v IS NULL").agg(exact_sum("v"), exact_avg("v")).first() == (None, None)
 
 
+@pytest.mark.parametrize("values", [
+    [0.00004] * 1000, [13 / 3, 10 / 3, 13 / 3], [1e19, 1e19], [-1e-9, 1e-12, 3.0, -7.25],
+    [float("inf"), 2.0, float("-inf")], [2.0**61, 1.0, -(2.0**61)], [1e300, 5.0, 1e-300],
+], ids=["small", "thirds", "large", "signed", "infinite", "cancelling", "every size"])
+def test_sums_keep_all_digits(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    known = [v for v in values if abs(v) != float("inf")]
+    assert df.agg(exact_sum("v")).first()[0] == math.fsum(known)
+    assert df.agg(exact_avg("v")).first()[0] == pytest.approx(math.fsum(known) / len(known))
+
+
 def test_labels_and_numbers(spark):
     df = spark.createDataFrame([(2017, 3, "1.5"), (987, 12, "bad"), (None, 1, None)], "y int, m int, v string")
     found = df.select(month_label("y", "m"), quarter_label("y", "m"), number_or_zero("v")).collect()
@@ -182,18 +200,21 @@ def test_log_files(spark, tmp_path):
         target.write_bytes(gzip.compress(text.encode()))
 
     trace = "x\nTraceback (most recent call last):\n" + "é" * 9000
-    put("a/b/c/stdout.gz", trace)
-    put("a/stdout.gz", "all is well" * 1000)
-    put("a/b/stdout.gz", "y" * 300 + "AnalysisException: no column" + "z" * 5000)
-    put("a/stderr.gz", trace)
-    found = {r.path.split("/a/")[1]: r for r in logs.scan_failures(
-        logs.read_logs(spark, str(tmp_path))).collect()}
+    put("application_1/b/c/stdout.gz", trace)
+    put("application_1/stdout.gz", "all is well" * 1000)
+    put("application_1/b/stdout.gz", "y" * 300 + "AnalysisException: no column" + "z" * 5000)
+    put("application_1/stderr.gz", trace)
+    put("elsewhere/stdout.gz", trace)
+    read = logs.read_logs(spark, str(tmp_path))
+    found = {r.path.split("/application_1/")[1]: r for r in logs.scan_failures(read).collect()}
     assert set(found) == {"b/c/stdout.gz", "stdout.gz", "b/stdout.gz"}
-    assert found["b/c/stdout.gz"].excerpt == trace[2:8002]
-    assert found["b/c/stdout.gz"].tail == trace[-4000:]
+    assert found["b/c/stdout.gz"].excerpt == trace[2:]
+    assert found["b/c/stdout.gz"].tail == trace
     assert found["stdout.gz"].kind is None and found["stdout.gz"].excerpt is None
     text = "y" * 300 + "AnalysisException: no column" + "z" * 5000
-    assert found["b/stdout.gz"].excerpt == text[100:4300]
+    assert found["b/stdout.gz"].excerpt == text[300:]
+    cut = logs.scan_failures(read, before=200, after=4000, tail=10).filter("kind = 'analysis'")
+    assert [(r.excerpt, r.tail) for r in cut.collect()] == [(text[100:4300], "z" * 10)]
     first = logs.first_failure(logs.read_logs(spark, str(tmp_path))).collect()
     assert [r.kind for r in first] == ["analysis"]
 
@@ -206,8 +227,8 @@ def test_short_log_and_early_word(spark):
     ], "path string, text string")
     found = {r.path: (r.kind, r.excerpt) for r in logs.scan_failures(df).collect()}
     assert found == {
-        "p": ("analysis", "ab AnalysisException"),
-        "q": ("traceback", "Traceback word, then Traceback (most recent call last): boom"),
+        "p": ("analysis", "AnalysisException"),
+        "q": ("traceback", "Traceback (most recent call last): boom"),
         "r": (None, None),
     }
 
@@ -233,3 +254,79 @@ def test_job_reports_a_broken_mart(spark, tmp_path, shop):
     failed = run_mart(spark, lake, "order_delivery_sla", "r").filter("NOT passed").collect()
     assert [r.check for r in failed] == ["between: delivery_days"]  # delivered before bought
     assert not failed[0].overall_passed
+
+
+def test_csv_columns_are_found_by_name(spark, lake, tmp_path):
+    path = tmp_path / "items.csv"
+    header = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,freight_value,price"
+    path.write_text(header + "\no1,1,p,s,2017-01-02 03:04:05,2.5,10.0\n")
+    csv = LakeConfig(str(tmp_path), bronze_prefix="b")
+    target = tmp_path / "b" / CSV_FILES["order_items"]
+    target.parent.mkdir()
+    path.rename(target)
+    row = read_bronze(spark, csv, "order_items").first()
+    assert (row.price, row.freight_value, row.shipping_limit_date.year) == (10.0, 2.5, 2017)
+    target.write_text("order_id,amount\no1,3\n")
+    with pytest.raises(ValueError, match="lacks"):
+        read_bronze(spark, csv, "order_items")
+
+
+def test_csv_fields_may_hold_line_breaks(spark, tmp_path):
+    target = tmp_path / "b" / CSV_FILES["order_reviews"]
+    target.parent.mkdir()
+    header = ("review_id,order_id,review_score,review_comment_title,review_comment_message,"
+              "review_creation_date,review_answer_timestamp")
+    target.write_text(
+        header + '\nr1,o1,4,,"two\nlines, ""quoted""",2017-01-02,\nr2,o2,bad,t,m,nonsense,\n')
+    found = read_bronze(spark, LakeConfig(str(tmp_path), bronze_prefix="b"), "order_reviews")
+    first, second = sorted(found.collect(), key=lambda r: r.review_id)
+    assert first.review_comment_message == 'two\nlines, "quoted"' and first.review_score == 4
+    assert (second.review_score, second.review_creation_date) == (None, None)
+
+
+def test_parquet_types_are_read_as_declared(spark, tmp_path):
+    lake = LakeConfig(str(tmp_path), bronze_prefix="b", bronze_format="parquet")
+    spark.createDataFrame(
+        [("o1", "2017-05-06 07:08:09"), ("o2", "not a time")],
+        "order_id string, order_purchase_timestamp string",
+    ).write.parquet(lake.bronze_path("orders"))
+    found = {r.order_id: r.order_purchase_timestamp for r in
+             read_bronze(spark, lake, "orders").collect()}
+    assert found["o1"].month == 5 and found["o2"] is None
+    spark.createDataFrame(
+        [("o1", 1, "boleto", 3, 1.5), ("o2", 2, "boleto", 2**40, 2.5)],
+        "order_id string, payment_sequential bigint, payment_type string,"
+        " payment_installments bigint, payment_value double",
+    ).write.parquet(lake.bronze_path("order_payments"))
+    table = read_bronze(spark, lake, "order_payments")
+    assert dict(table.dtypes)["payment_installments"] == "int"
+    assert rows(table.select("order_id", "payment_installments")) == [("o1", 3), ("o2", None)]
+
+
+def test_partition_values_keep_their_type(spark, lake):
+    df = spark.createDataFrame([("007", 1), ("08", 2)], "k string, v int")
+    path = gold.write_gold(df, lake, "gold.texts", partition_by=["k"])
+    assert rows(gold.read_gold(spark, path, {"k": "string", "v": "int"})) == [("007", 1), ("08", 2)]
+
+
+def test_scratch_folders_are_released(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_scratch_root", lambda spark: str(tmp_path / "shared"))
+    monkeypatch.setattr(session, "_written", {})
+    kept = [session.stored(spark.range(3), "x") for _ in range(2)]
+    assert len(list((tmp_path / "shared").iterdir())) == 2 and kept[0].count() == 3
+    assert session.release_scratch(spark) == 2
+    assert not list((tmp_path / "shared").iterdir())
+    assert session.release_scratch(spark) == 0
+
+
+def test_a_local_session_has_one_folder(monkeypatch):
+    class Local:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master, applicationId = "local[2]", "app-of-this-test"
+
+    monkeypatch.setattr(session, "_local_roots", {})
+    first, second = (starmill.scratch_dir(Local, "x") for _ in range(2))
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
