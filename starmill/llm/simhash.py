@@ -26,7 +26,7 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import free_names, named, text_batches
@@ -72,10 +72,7 @@ def _fingerprint_batches(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.Recor
         yield pa.RecordBatch.from_arrays([*kept, found], ["doc_id", "file", "row", "fingerprint"])
 
 
-def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, the row's locator, and the fingerprint as a signed 64-bit number."""
-    file, row = free_names(documents, "file", "row")
-    rows = located(documents, file, row)
+def _prints(rows: DataFrame, doc_id: str, text: str, file: str, row: str) -> DataFrame:
     return rows.select(
         named(rows, doc_id).cast("long").alias("doc_id"),
         named(rows, file).alias("file"),
@@ -84,6 +81,12 @@ def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
     ).mapInArrow(_fingerprint_batches, _FINGERPRINTS)
 
 
+def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, the row's locator, and the fingerprint as a signed 64-bit number."""
+    file, row = free_names(documents, "file", "row")
+    return _prints(located(documents, file, row), doc_id, text, file, row)
+
+
 def links(nodes: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of the distinct ``fingerprint`` values that connect all pairs in distance."""
     upper, lower = "shiftrightunsigned(fingerprint, 32)", "fingerprint & 4294967295L"
@@ -126,12 +129,25 @@ def links(nodes: DataFrame) -> DataFrame:
     )
 
 
-def grouped(prints: DataFrame) -> DataFrame:
-    """Stored ``fingerprints`` with ``root``, a value that is the same in a whole component."""
-    nodes = stored(prints.select("fingerprint").distinct(), "simhash-nodes")
-    roots = components(links(nodes)).withColumnRenamed("node", "fingerprint")
-    return prints.join(roots, "fingerprint", "left").withColumn(
-        "root", F.coalesce("root", "fingerprint")
+def group_nodes(prints: DataFrame, least: Column) -> DataFrame:
+    """``fingerprint`` of each node of the stored prints, and ``least`` over its component.
+
+    Rows are reduced to one per distinct fingerprint before anything is joined, so a component of
+    very many copies is no larger here than one of few.
+    """
+    nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes")
+    roots = components(links(nodes.select("fingerprint"))).withColumnRenamed("node", "fingerprint")
+    rooted = stored(
+        nodes.join(roots, "fingerprint", "left").withColumn(
+            "root", F.coalesce("root", "fingerprint")
+        ),
+        "simhash-roots",
+    )
+    whole = stored(
+        rooted.groupBy("root").agg(F.min("least").alias("least")), "simhash-components"
+    )
+    return stored(
+        rooted.drop("least").join(whole, "root").select("fingerprint", "least"), "simhash-least"
     )
 
 
@@ -139,12 +155,11 @@ def near_duplicates(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits, component_id: the smallest id that links reach."""
-    rows = stored(
-        grouped(stored(fingerprints(documents, doc_id, text), "simhash-prints")), "simhash-groups"
-    )
-    least = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "root").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    prints = stored(fingerprints(documents, doc_id, text), "simhash-prints")
+    return prints.join(group_nodes(prints, F.min("doc_id")), "fingerprint").select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("least").alias("component_id"),
     )
 
 
@@ -152,15 +167,12 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """``documents`` with one row of each component: that of the smallest id, then locator."""
     file, row = free_names(documents, "simhash_file", "simhash_row")
     source = located(documents, file, row)
-    prints = source.select(
-        named(source, doc_id).cast("long").alias("doc_id"),
-        named(source, file).alias("file"), named(source, row).alias("row"),
-        named(source, text).alias("text"),
-    ).mapInArrow(_fingerprint_batches, _FINGERPRINTS)
-    rows = stored(grouped(stored(prints, "simhash-prints")), "simhash-groups")
+    prints = stored(
+        _prints(source, doc_id, text, file, row), "simhash-prints"
+    )
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")
-    kept = rows.groupBy("root").agg(F.min(order).alias("kept")).select(
-        F.col("kept.file").alias(file), F.col("kept.row").alias(row)
+    kept = group_nodes(prints, F.min(order)).select("least.file", "least.row").distinct().toDF(
+        file, row
     )
     result = source.join(stored(kept, "simhash-kept"), [file, row], "left_semi")
     return result.select(*[named(result, c) for c in documents.columns])
