@@ -167,12 +167,11 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """``documents`` with one row of each component: that of the smallest id, then locator."""
     file, row = free_names(documents, "simhash_file", "simhash_row")
     source = located(documents, file, row)
-    prints = stored(
-        _prints(source, doc_id, text, file, row), "simhash-prints"
-    )
+    prints = stored(_prints(source, doc_id, text, file, row), "simhash-prints")
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")
-    kept = group_nodes(prints, F.min(order)).select("least.file", "least.row").distinct().toDF(
-        file, row
-    )
-    result = source.join(stored(kept, "simhash-kept"), [file, row], "left_semi")
+    # The rows that go are few where those that stay are many, so they are the side that is joined.
+    dropped = prints.join(group_nodes(prints, F.min(order)), "fingerprint").filter(
+        F.struct("file", "row") != F.struct("least.file", "least.row")
+    ).select(F.col("file").alias(file), F.col("row").alias(row))
+    result = source.join(stored(dropped, "simhash-dropped"), [file, row], "left_anti")
     return result.select(*[named(result, c) for c in documents.columns])
