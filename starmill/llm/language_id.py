@@ -5,7 +5,8 @@
 2. A sample of labelled documents, about ``per_language`` of each language by a hash of the id, gives
    TF-IDF vectors. Follow-the-regularised-leader with elastic-net penalties fits the weights; the L1
    part leaves most of them at zero. The sample's size is a parameter; vectors have ``BUCKETS``
-   entries at most, so the driver holds a bounded amount.
+   entries at most, so the driver holds a bounded amount. Of more than ``MOST_LANGUAGES`` labels the
+   most frequent are learned.
 3. One fold of the sample is left out of the fit and sets the softmax's temperature.
 4. Every document is scored by a narrow map; the weights (languages x buckets) travel with the job.
 
@@ -33,6 +34,7 @@ ORDERS = (1, 2, 3)
 CHUNK = 1 << 20
 PER_LANGUAGE = 800
 SAMPLE_MOST = 20_000
+MOST_LANGUAGES = 200
 CALIBRATION_FOLD = 1
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,7 +180,8 @@ def train(
         named(documents, lang).cast("string").alias("lang"),
         named(documents, text).alias("text"),
     ).filter("fold <> 0 AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = {r["lang"]: r["n"] for r in frequent.limit(MOST_LANGUAGES).collect()}
     if not sizes:
         return None
     found = {
