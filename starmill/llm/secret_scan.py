@@ -2,7 +2,7 @@
 
 1. One pass of built-in string functions marks every candidate in the whole text and splits the text
    at the marks, so candidates and the text around them come from one pattern match. Candidates are
-   runs of at least ``SHORTEST`` token characters with a digit. Positions are running sums of lengths
+   runs of at least ``SHORTEST`` token characters with a digit or a provider's prefix. Positions are running sums of lengths
    within the document.
 2. Each candidate gets features: length and alphabet, transitions between character classes, share of
    it that dictionary words cover, whether it stands in a path or address, and what its neighbouring
@@ -44,15 +44,17 @@ TREES, DEPTH, SEED = 24, 6, 11
 MARK, OTHER = "\u0001", "\u0002"
 REDACTED = "<secret>"
 
-CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{%d,}+={0,2}" % SHORTEST
-)
 # Names that credentials are assigned to, and published formats of keys.
 KEY_NAMES = (
     "password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|"
     "client[_-]?secret|auth|credential|bearer"
 )
 KEYED = rf"(?i)(?:{KEY_NAMES})\W{{0,4}}\s*(?:[:=]|=>)\s*[\"'`]?$"
+PREFIXES = "AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk_live_|AIza|glpat-|eyJ"
+CANDIDATE = (
+    rf"(?<![A-Za-z0-9+/_-])(?=(?:{PREFIXES})|[A-Za-z+/_-]*+[0-9])"
+    rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}+={{0,2}}"
+)
 PROVIDER = (
     r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|"
     r"sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35}|glpat-[0-9A-Za-z_-]{20,}|"
