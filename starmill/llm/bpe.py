@@ -241,12 +241,10 @@ def _batches(path: str, names: list[str], made):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                for batch, texts in text_batches([whole.slice(at, ROWS)]):
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id"), *made(codec, texts)], ["doc_id", *names]
-                    )
+        for batch, texts in text_batches(batches, rows=ROWS):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *made(codec, texts)], ["doc_id", *names]
+            )
 
     return run
 

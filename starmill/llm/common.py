@@ -35,7 +35,11 @@ def learning_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
-def text_batches(batches: Iterable, column: str = "text") -> Iterable[tuple[object, list[str]]]:
-    """Arrow batches with their texts as Python strings; null counts as empty."""
-    for batch in batches:
-        yield batch, [text or "" for text in batch.column(column).to_pylist()]
+def text_batches(
+    batches: Iterable, column: str = "text", rows: int = 512
+) -> Iterable[tuple[object, list[str]]]:
+    """Arrow batches with their texts as Python strings, few rows at a time; null counts as empty."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            yield batch, [text or "" for text in batch.column(column).to_pylist()]
