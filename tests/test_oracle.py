@@ -28,7 +28,7 @@ def duck():
 
 
 def _sorted(found):
-    return sorted(found, key=lambda r: tuple((v is not None, str(type(v)), v or 0) for v in r))
+    return sorted(found, key=lambda r: tuple((v is not None, str(type(v)), 0 if v is None else v) for v in r))
 
 
 def test_every_query_of_the_library_has_an_oracle():
