@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_sum, number
+from starmill.functions import limb_sums, number
 from starmill.operators.star import Tables, star_join, translated
 
 PURCHASE = "order_purchase_timestamp"
@@ -38,7 +38,8 @@ def with_purchase(orders: DataFrame) -> DataFrame:
 def product_sums(t: Tables, *keys: Column) -> DataFrame:
     """Lines per (period, product), before any product attribute is joined.
 
-    ``lines``: line items; ``priced``: those with a price; ``spent``: the sum of their prices.
+    ``lines``: line items; ``priced``: those with a price; ``spent_*``: the sum of their prices,
+    for ``sum_of_limbs``.
     After the join of lines and orders only this much is shuffled by product, so neither a hot
     product nor a null category is ever a key at line grain.
     """
@@ -48,7 +49,7 @@ def product_sums(t: Tables, *keys: Column) -> DataFrame:
         .agg(
             F.count("*").alias("lines"),
             F.count(number("price")).alias("priced"),
-            exact_sum("price").alias("spent"),
+            *limb_sums("price", "spent"),
         )
     )
 

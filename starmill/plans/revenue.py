@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_avg, exact_sum
+from starmill.functions import exact_avg, exact_sum, sum_of_limbs
 from starmill.operators.star import Tables, per_order, star_join
 from starmill.plans.common import (
     CATEGORY,
@@ -54,7 +54,7 @@ def monthly_revenue_summary(
         orders = in_months(orders, years, months)
     items = t["order_items"].filter(F.col("price").isNotNull())
     wanted = {**t, "orders": orders, "order_items": items}
-    spent = exact_sum("spent")
+    spent = sum_of_limbs("spent")
     return (
         category_sums(wanted, year("order_year"), month("order_month"))
         .filter(F.col(CATEGORY).isNotNull())
@@ -178,7 +178,7 @@ def yearly_average_revenue_by_category(t: Tables) -> DataFrame:
     return (
         category_sums({**t, "orders": delivered(t["orders"])}, year())
         .groupBy(CATEGORY, "year")
-        .agg((exact_sum("spent") / priced).alias("average_revenue"))
+        .agg((sum_of_limbs("spent") / priced).alias("average_revenue"))
     )
 
 
@@ -233,5 +233,5 @@ def period_revenue_by_category(
     return (
         category_sums(wanted, year(), month())
         .groupBy("year", "month", CATEGORY)
-        .agg(exact_sum("spent").alias("total_revenue"))
+        .agg(sum_of_limbs("spent").alias("total_revenue"))
     )
