@@ -16,6 +16,7 @@ import starmill  # noqa: E402
 from starmill.functions import in_period  # noqa: E402
 from starmill.operators import charts, checks, logs, profiling, star  # noqa: E402
 from starmill.plans.common import CATEGORY, in_months  # noqa: E402
+from starmill.session import stored  # noqa: E402
 from starmill.sources import gold, warehouse  # noqa: E402
 from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronze  # noqa: E402
 
@@ -36,6 +37,7 @@ MART_ARGS: dict[str, dict] = {
     "period_revenue_total": {"years": YEARS},
     "period_revenue_by_category": {"years": YEARS},
     "sp_delivery_delays": {"state": "ASIA"},
+    "customer_rfm_segments": {"keep": lambda people: stored(people, "rfm-people")},
     "seller_performance_scorecard": {
         "gold_score": 3.0, "gold_cancel": 0.33, "silver_score": 2.9,
     },

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +30,14 @@ def customer_rfm_segments(
     t: Tables,
     quantiles: Sequence[float] = (0.2, 0.4, 0.6, 0.8),
     floors: Sequence[int] = (13, 10, 8, 6),
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Recency, frequency and spending of each person over delivered orders.
 
     An order counts if it has a purchase time, lines and payments. Each of the three measures
     scores one point per quantile passed plus one; the sum of the points picks the segment by
-    ``floors``.
+    ``floors``. The people are read several times: ``keep`` may store them, such as
+    ``session.stored`` does; without it the mart is built lazily and computes them again.
     """
     paid = per_order(t["order_payments"], exact_sum("payment_value").alias("paid"))
     bought = (
@@ -54,6 +56,7 @@ def customer_rfm_segments(
         # Days before the epoch day order people as recency does, without knowing the last day.
         .withColumn("age", -F.unix_date("last_day"))
     )
+    people = keep(people) if keep else people
     measures = ["age", "frequency", "monetary"]
     cuts = cut_points(exact_quantiles(people, measures, quantiles), measures, quantiles)
     today = people.agg(F.max("last_day")).scalar()
