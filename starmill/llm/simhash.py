@@ -129,14 +129,17 @@ def links(nodes: DataFrame) -> DataFrame:
     )
 
 
-def group_nodes(prints: DataFrame, least: Column) -> DataFrame:
+def group_nodes(prints: DataFrame, least: Column, linked: DataFrame | None = None) -> DataFrame:
     """``fingerprint`` of each node of the stored prints, and ``least`` over its component.
 
+    ``linked`` are pairs ``a, b`` of fingerprints; by default those in distance.
+
     Rows are reduced to one per distinct fingerprint before anything is joined, so a component of
     very many copies is no larger here than one of few.
     """
     nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes")
-    roots = components(links(nodes.select("fingerprint"))).withColumnRenamed("node", "fingerprint")
+    linked = links(nodes.select("fingerprint")) if linked is None else linked
+    roots = components(linked).withColumnRenamed("node", "fingerprint")
     rooted = stored(
         nodes.join(roots, "fingerprint", "left").withColumn(
             "root", F.coalesce("root", "fingerprint")
@@ -163,15 +166,25 @@ def near_duplicates(
     )
 
 
-def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` with one row of each component: that of the smallest id, then locator."""
-    file, row = free_names(documents, "simhash_file", "simhash_row")
-    source = located(documents, file, row)
-    prints = stored(_prints(source, doc_id, text, file, row), "simhash-prints")
+def keep_least(
+    documents: DataFrame, source: DataFrame, prints: DataFrame, linked: DataFrame | None,
+    file: str, row: str,
+) -> DataFrame:
+    """The columns of ``documents`` from ``source`` with the first row of each component only."""
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")
     # The rows that go are few where those that stay are many, so they are the side that is joined.
-    dropped = prints.join(group_nodes(prints, F.min(order)), "fingerprint").filter(
+    dropped = prints.select("doc_id", "file", "row", "fingerprint").join(
+        group_nodes(prints, F.min(order), linked), "fingerprint"
+    ).filter(
         F.struct("file", "row") != F.struct("least.file", "least.row")
     ).select(F.col("file").alias(file), F.col("row").alias(row))
     result = source.join(stored(dropped, "simhash-dropped"), [file, row], "left_anti")
     return result.select(*[named(result, c) for c in documents.columns])
+
+
+def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` with one row of each component: that of the smallest id, then locator."""
+    file, row = free_names(documents, "simhash_file", "simhash_row")
+    source = located(documents, file, row)
+    prints = stored(_prints(source, doc_id, text, file, row), "simhash-prints")
+    return keep_least(documents, source, prints, None, file, row)
