@@ -1,7 +1,9 @@
 """Chat formatting: tool calls linked to their results, ordered, validated and serialised.
 
 1. Calls and results are hash-joined by conversation and call identifier. Of repeated identifiers the
-   first in the transcript counts; ``copies`` tells how many there were.
+   first call and the first result in the transcript are linked; every other one that differs in any
+   field is a row of its own, ``duplicate``. ``copies`` tells how many calls the identifier has, and on
+   a duplicate how many equal rows it stands for.
 2. Order. A call's place in the transcript is its first order key. Where a call depends on one that
    has a later or equal key, it moves behind it, round by round, until no dependency is broken; in
    most transcripts none is, and the order costs one join. A call whose key passes its conversation's
@@ -14,9 +16,10 @@ Rows are events, not conversations, so no conversation is ever collected into on
 (conv_id, order_key, call_id) gives the training text.
 
 Statuses: ``linked`` (a call with its result), ``open`` (without one), ``orphan`` (a result without a
-call), ``message`` (any other turn). Defined results: null texts count as empty; null roles make a
-``message``; null conversation ids form a conversation of their own. Arguments that are no JSON object
-are invalid. Repeated rows of a turn are copies. Empty tables give empty results. Extra columns are
+call), ``message`` (any other turn), ``duplicate`` (a later call or result of an identifier). Defined
+results: null texts count as empty; null roles make a ``message``. Rows without a conversation or call
+id are linked to nothing: calls are ``open``, results ``orphan``; a null conversation id is written as
+empty. Arguments that are no JSON object are invalid. Repeated rows of a turn are copies. Empty tables give empty results. Extra columns are
 ignored.
 """
 
@@ -56,7 +59,7 @@ def exchanges(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     on the call two turns before, if there is one.
     """
     rows = conversations.select(
-        F.coalesce(named(conversations, "conv_id").cast("string"), F.lit("")).alias("conv_id"),
+        named(conversations, "conv_id").cast("string").alias("conv_id"),
         named(conversations, "turn").cast("long").alias("turn"),
         named(conversations, "role").cast("string").alias("role"),
         F.coalesce(named(conversations, "text"), F.lit("")).alias("text"),
@@ -80,12 +83,25 @@ def exchanges(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     return calls, results, others
 
 
-def _first(rows: DataFrame, *values: str) -> DataFrame:
-    """The first of each call identifier in transcript order, and the number of copies."""
-    least = F.min(F.struct("turn", *values)).alias("first")
-    return rows.groupBy(*_CALL).agg(least, F.count("*").alias("copies")).select(
-        *_CALL, "first.*", "copies"
+def _first(rows: DataFrame, *values: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three parts of the distinct rows, with the number of ``copies``.
+
+    The first of each call identifier in transcript order (its copies are the identifier's rows), the
+    others of known identifiers, and the rows whose conversation or call is unknown.
+    """
+    fields = ["turn", *values]
+    distinct = stored(
+        rows.groupBy(*_CALL, *fields).agg(F.count("*").alias("copies")), "chat-distinct"
     )
+    known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    named_rows = distinct.filter(known)
+    first = named_rows.groupBy(*_CALL).agg(
+        F.min(F.struct(*fields)).alias("first"), F.sum("copies").alias("copies")
+    )
+    others = named_rows.join(first.drop("copies"), _CALL).filter(
+        F.struct(*fields) != F.col("first")
+    ).drop("first")
+    return first.select(*_CALL, "first.*", "copies"), others, distinct.filter(~known)
 
 
 def topological_keys(calls: DataFrame) -> DataFrame:
@@ -175,14 +191,32 @@ def link_tool_calls(
     calls: DataFrame, results: DataFrame, others: DataFrame, schemas: Schemas = SCHEMAS
 ) -> DataFrame:
     """One row per call, unmatched result and other message, with its line of JSON."""
-    called = stored(_first(calls, "name", "arguments", "after"), "chat-calls")
-    answered = _first(results, "content").select(
+    first, more_calls, loose_calls = _first(calls, "name", "arguments", "after")
+    called = stored(first, "chat-calls")
+    answers, more_results, loose_results = _first(results, "content")
+    answered = answers.select(
         *_CALL, F.col("turn").alias("result_turn"), "content", F.lit(True).alias("answered")
     )
     keys = topological_keys(called)
     joined = called.withColumn("called", F.lit(True)).join(answered, _CALL, "full").join(
         keys, _CALL, "left"
-    )
+    ).withColumn("duplicate", F.lit(False))
+
+    def alone(rows: DataFrame, duplicate: bool, call: bool) -> DataFrame:
+        """Calls or results in the columns of ``joined``, linked to nothing."""
+        place = F.col("turn").alias("order_key" if call else "result_turn")
+        rows = rows.select("*", place, F.lit(call).alias("called"), F.lit(duplicate).alias("duplicate"))
+        # The copies of a result count only where the row stands for nothing but them.
+        return rows if call or duplicate else rows.drop("copies")
+
+    alone_rows = [
+        alone(more_calls, True, True), alone(more_results, True, False),
+        alone(loose_calls, False, True), alone(loose_results, False, False),
+    ]
+    rest = alone_rows[0]
+    for rows in [*alone_rows[1:], joined]:
+        rest = rest.unionByName(rows, allowMissingColumns=True)
+    joined = rest
     is_call = F.coalesce(F.col("called"), F.lit(False))
     wrong = F.when(is_call, errors(F.col("name"), F.col("arguments"), schemas))
     # Canonical arguments are JSON already: they take the place of a marker, not of a string.
@@ -194,10 +228,10 @@ def link_tool_calls(
     )
     orphan = _line(call_id=F.col("call_id"), content=F.col("content"))
     linked = joined.select(
-        "conv_id", "call_id",
+        F.coalesce("conv_id", F.lit("")).alias("conv_id"), "call_id",
         F.coalesce("turn", "result_turn").alias("turn"),
         F.when(is_call, F.col("order_key")).otherwise(F.col("result_turn")).alias("order_key"),
-        F.when(~is_call, F.lit("orphan")).when(F.col("answered"), F.lit("linked"))
+        F.when(F.col("duplicate"), F.lit("duplicate")).when(~is_call, F.lit("orphan")).when(F.col("answered"), F.lit("linked"))
         .otherwise(F.lit("open")).alias("status"),
         F.coalesce("copies", F.lit(0)).cast("long").alias("copies"),
         (is_call & (F.size(F.coalesce(wrong, F.array(F.lit("")))) == 0)).alias("valid"),
@@ -205,7 +239,7 @@ def link_tool_calls(
         F.when(is_call, frame).otherwise(orphan).alias("json"),
     )
     plain = others.select(
-        "conv_id", F.lit("").alias("call_id"), "turn", F.col("turn").alias("order_key"),
+        F.coalesce("conv_id", F.lit("")).alias("conv_id"), F.lit("").alias("call_id"), "turn", F.col("turn").alias("order_key"),
         F.lit("message").alias("status"), F.lit(1).cast("long").alias("copies"),
         F.lit(True).alias("valid"), F.lit("").alias("errors"),
         _line(content=F.col("text"), role=F.col("role")).alias("json"),

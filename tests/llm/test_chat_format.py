@@ -71,3 +71,24 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = C.format_chats(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_turns_with_other_texts_all_stay(spark):
+    df = spark.createDataFrame([
+        (1, 1, "user", "A"), (1, 1, "user", "B"), (1, 1, "user", "B"),
+        (1, 2, "assistant", "X"), (1, 2, "assistant", "Y"), (1, 4, "assistant", "P"), (1, 4, "assistant", "Q"),
+        (None, 1, "user", "one"), (None, 1, "user", "two"), (None, 2, "assistant", "three"),
+        (None, 2, "assistant", "four"),
+    ], "conv_id long, turn long, role string, text string").selectExpr(
+        "cast(conv_id as string) conv_id", "turn", "role", "text"
+    ).union(spark.createDataFrame([("", 1, "user", "empty id")], "a string, b long, c string, d string"))
+    found = set()
+    for r in C.format_chats(df).collect():
+        line = json.loads(r.json)
+        found.add((r.conv_id, r.turn, r.status, r.copies, line.get("arguments", {}).get("prompt"), line.get("content")))
+    assert found == {
+        ("1", 1, "linked", 3, "A", "X"), ("1", 1, "duplicate", 2, "B", None),
+        ("1", 2, "duplicate", 1, None, "Y"), ("1", 4, "orphan", 0, None, "P"), ("1", 4, "duplicate", 1, None, "Q"),
+        ("", 1, "open", 1, "one", None), ("", 1, "open", 1, "two", None), ("", 1, "open", 1, "empty id", None),
+        ("", 2, "orphan", 0, None, "three"), ("", 2, "orphan", 0, None, "four"),
+    }
