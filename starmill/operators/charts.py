@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions import (
@@ -15,6 +15,8 @@ from starmill.functions import (
     number_or_zero,
 )
 from starmill.operators.quantiles import value_counts
+from starmill.operators.scans import dense_rank
+from starmill.session import stored
 
 # Column names that are read as time.
 TIME_COLUMNS = (
@@ -71,16 +73,22 @@ def surface(
 ) -> DataFrame:
     """Period x series x metric for a 3-D chart, with dense axis positions from zero.
 
-    The positions come from the axes' distinct labels, so no window sees the points.
+    The points are stored, since the axes need them too. Both axes' distinct labels are numbered by
+    ranges, so an axis of any length is never in one task.
     """
-    points = df.groupBy(
-        label(year, part).alias("period"), label_or_unknown(series).alias("series")
-    ).agg(_total(metric))
+    points = stored(
+        df.groupBy(
+            label(year, part).alias("period"), label_or_unknown(series).alias("series")
+        ).agg(_total(metric)),
+        "surface-points",
+    )
+    labels = points.unpivot([], ["period", "series"], "axis", "label")
+    places = stored(dense_rank(labels, ["axis"], "label", "place"), "surface-axes")
 
     def axis(name: str) -> DataFrame:
-        labels = points.select(name).distinct()
-        place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(name)) - 1
-        return labels.withColumn(f"{name}_idx", place)
+        return places.filter(F.col("axis") == name).select(
+            F.col("label").alias(name), (F.col("place") - 1).cast("int").alias(f"{name}_idx")
+        )
 
     return points.join(axis("period"), "period").join(axis("series"), "series").select(
         "period", "series", metric, "period_idx", "series_idx"
