@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
     bpe, chat_format, exact_dedup, html_extract, language_id, packing, quality_classifier,
-    quality_rules, secret_scan, simhash,
+    quality_rules, secret_scan, simhash, token_counts,
 )
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
 
 
-def tokenizer_file() -> str:
-    """Where this machine has the public byte-level vocabulary."""
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Where this machine has a public vocabulary; by default the byte-level one."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,9 +63,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(
+        table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json")
+    )
+
+
 _QUERIES = (
     op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op5_secret_scan,
     op6_bpe, op7_exact_dedup, op8_chat_format, op9_html_extract, op10_packing,
+    op13_token_counts,
 )
 
 

@@ -17,14 +17,16 @@ COLUMNS = {
     "op8_chat_format": "conv_id call_id status json",
     "op9_html_extract": "page_id url text n_chars",
     "op10_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op13_token_counts": "doc_id n_bytes n_tokens over_limit",
 }
 PER_ROW = {name: "documents" for name in list(COLUMNS)[:4]} | {
-    "op6_bpe": "documents", "op7_exact_dedup": "documents", "op9_html_extract": "pages"}
+    "op6_bpe": "documents", "op7_exact_dedup": "documents", "op9_html_extract": "pages",
+    "op13_token_counts": "documents"}
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="the given tables are not here")
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     assert set(Q.queries()) == set(COLUMNS)
     assert set(COLUMNS) | {"pipeline"} <= set(entry.queries())
 
