@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 FOLDS = 5
 
@@ -43,3 +47,57 @@ def text_batches(
         for at in range(0, whole.num_rows, rows):
             batch = whole.slice(at, rows)
             yield batch, [text or "" for text in batch.column(column).to_pylist()]
+
+
+def same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal columns, where null equals null; the left side's columns are kept."""
+    names = list(names)
+    other = right.withColumnsRenamed({n: f"_of_{n}" for n in names})
+    match = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_of_{n}")) for n in names])
+    return left.join(other, match, how).drop(*[f"_of_{n}" for n in names])
+
+
+def ordered_sha256(
+    df: DataFrame, keys: Sequence[str], order: str, pieces: str, separator: str, name: str
+) -> DataFrame:
+    """The keys and, as ``name``, the SHA-256 of each group's non-null pieces in order, joined.
+
+    A digest is sequential, so one task reads a group, but it streams: only the digest so far is
+    held. Join neighbouring pieces beforehand, so that a hot group is few rows.
+    """
+    keys = list(keys)
+    narrow = df.filter(F.col(pieces).isNotNull()).select(*keys, order, pieces)
+    between = separator.encode()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, digest = None, None
+        for batch in batches:
+            done: list[tuple] = []
+            columns = [batch.column(k).to_pylist() for k in keys]
+            for *key, piece in zip(*columns, batch.column(pieces).to_pylist()):
+                if digest is None or key != current:
+                    if digest is not None:
+                        done.append((*current, digest.hexdigest()))
+                    current, digest = key, hashlib.sha256()
+                else:
+                    digest.update(between)
+                digest.update(piece.encode())
+            yield from made(done)
+        if digest is not None:
+            yield from made([(*current, digest.hexdigest())])
+
+    fields = [narrow.schema[k] for k in keys]
+    schema = StructType(fields).add(name, "string")
+    kinds = [k.jsonValue()["type"] for k in fields]
+    arrow = {"long": pa.int64(), "integer": pa.int32(), "short": pa.int16(), "byte": pa.int8(),
+             "string": pa.string(), "binary": pa.binary()}
+    types = [*[arrow[k] for k in kinds], pa.string()]
+
+    def made(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows), types)], [*keys, name]
+            )
+
+    placed = narrow.repartition(*keys).sortWithinPartitions(*keys, order)
+    return placed.mapInArrow(run, schema)

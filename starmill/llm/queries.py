@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
     bpe, chat_format, exact_dedup, html_extract, language_id, packing, quality_classifier,
-    quality_rules, secret_scan, simhash, token_counts,
+    quality_rules, secret_scan, simhash, token_counts, turn_repair,
 )
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
@@ -63,6 +63,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file())
 
 
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.damaged_repairs(table(spark, folder, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json")
@@ -72,7 +76,7 @@ def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES = (
     op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op5_secret_scan,
     op6_bpe, op7_exact_dedup, op8_chat_format, op9_html_extract, op10_packing,
-    op13_token_counts,
+    op11_turn_repair, op13_token_counts,
 )
 
 
