@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
-    bpe, chat_format, exact_dedup, html_extract, language_id, packing, quality_classifier,
-    quality_rules, secret_scan, simhash, token_counts, turn_repair,
+    bpe, chat_format, exact_dedup, html_extract, language_id, packing, prefix_trie,
+    quality_classifier, quality_rules, secret_scan, simhash, token_counts, turn_repair,
 )
 from starmill.llm.common import table
 from starmill.llm.oracle import ORACLE
@@ -67,6 +67,10 @@ def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.damaged_repairs(table(spark, folder, "conversations"))
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(
         table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json")
@@ -76,7 +80,7 @@ def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES = (
     op1_quality_rules, op2_language_id, op3_simhash, op4_quality_classifier, op5_secret_scan,
     op6_bpe, op7_exact_dedup, op8_chat_format, op9_html_extract, op10_packing,
-    op11_turn_repair, op13_token_counts,
+    op11_turn_repair, op12_prefix_trie, op13_token_counts,
 )
 
 

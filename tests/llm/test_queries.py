@@ -19,12 +19,14 @@ COLUMNS = {
     "op10_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op11_turn_repair":
         "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op13_token_counts": "doc_id n_bytes n_tokens over_limit",
 }
 PER_ROW = {name: "documents" for name in list(COLUMNS)[:4]} | {
     "op6_bpe": "documents", "op7_exact_dedup": "documents", "op9_html_extract": "pages",
     "op11_turn_repair":
         "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
     "op13_token_counts": "documents"}
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="the given tables are not here")
