@@ -10,7 +10,8 @@ The map is narrow. Texts above ``PIECE`` characters are cut at spaces, where no
 special string reaches across.
 
 Unicode tables differ between libraries' versions, so only texts below ``SETTLED``, whose classes no
-version changes, are split by ``regex``; others go through the vocabulary's own normaliser and splitter.
+version changes, are lower-cased and split by Python; others go through the vocabulary's own normaliser
+and splitter.
 
 Defined results: null counts as empty, with no bytes and no tokens. Null ids and repeated rows pass
 through. There are no ties: a row's counts depend on its text alone. Empty tables give empty results.
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterable, Iterator
+import re
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,6 +43,20 @@ PIECE = 1 << 20
 SETTLED = "ԯ"
 
 
+class _Known(dict):
+    """Words with their counts; starts anew when it is full."""
+
+    def __init__(self, count: Callable[[bytes], int]) -> None:
+        super().__init__()
+        self.count = count
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORDS:
+            self.clear()
+        self[word] = found = self.count(word.encode())
+        return found
+
+
 class Counter:
     """Counts tokens as the library does for a word-end BPE file with a byte-level alphabet."""
 
@@ -61,9 +78,13 @@ class Counter:
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern)
         self.split = Split(Regex(pattern), behavior="removed", invert=True)
+        plain = {r"\p{L}": "a-z", r"\p{N}": "0-9", r"\s": r"\t-\r "}
+        for wide, narrow in plain.items():
+            pattern = pattern.replace(wide, narrow)
+        self.plain_words = re.compile(pattern)
         self.normalizer = Tokenizer.from_file(path).normalizer
-        self.unsettled = regex.compile(f"[^\\x00-{SETTLED}]")
-        self.known: dict[str, int] = {}
+        self.unsettled = re.compile(f"[^\\x00-{SETTLED}]")
+        self.known = _Known(self.merged)
 
     def merged(self, word: bytes) -> int:
         """Symbols that are left of one word: its bytes minus its merges."""
@@ -95,23 +116,18 @@ class Counter:
 
     def _words(self, text: str) -> Iterable[str]:
         """The words of a piece of text that holds no special string."""
-        if not text.isascii():
-            text = self.normalizer.normalize_str(text)
-            if self.unsettled.search(text):
-                return (word for word, _ in self.split.pre_tokenize_str(text))
-            return self.words.findall(text)
-        return self.words.findall(text.lower())
+        if text.isascii():
+            return self.plain_words.findall(text.lower())
+        if not self.unsettled.search(text):
+            text = unicodedata.normalize("NFC", text)
+        # Python lower-cases a sigma by its neighbours, the vocabulary's normaliser does not.
+        if "Σ" not in text and not self.unsettled.search(text):
+            return self.words.findall(text.lower())
+        normal = self.normalizer.normalize_str(text)
+        return (word for word, _ in self.split.pre_tokenize_str(normal))
 
     def _count(self, text: str) -> int:
-        total, known = 0, self.known
-        for word in self._words(text):
-            count = known.get(word)
-            if count is None:
-                if len(known) >= WORDS:
-                    known.clear()
-                known[word] = count = self.merged(word.encode())
-            total += count
-        return total
+        return sum(map(self.known.__getitem__, self._words(text)))
 
     def count(self, text: str) -> int:
         """The text's number of tokens, special strings included."""
