@@ -24,64 +24,6 @@ def number(column: str | Column) -> Column:
     return F.when(F.abs(value) < float("inf"), value)
 
 
-# Sums split a value's size into limbs of this many bits; larger values are added up as they are.
-LIMB_BITS = 24
-LIMBS = 6
-LARGEST_SPLIT = 2.0**62
-
-
-def exact_sum(column: str | Column) -> Column:
-    """Sum of doubles that does not depend on row order, and loses no digits.
-
-    A plain sum of doubles changes in its last digits from run to run, and after a lost
-    executor; a gold table should not. Here each value is split into whole-number limbs of
-    24 bits, down to 2**-72, whose sums are exact 64-bit integers (for 5e11 rows of a group),
-    and only the group's result becomes a double. Values from 2**62 on, which prices never
-    reach, are summed as doubles. NaN and infinite values count as missing.
-    """
-    return _joined([F.sum(limb) for limb in _limbs(column)])
-
-
-def limb_sums(column: str | Column, name: str) -> list[Column]:
-    """The parts of ``exact_sum``, to be added up again by ``sum_of_limbs`` in a later aggregate."""
-    return [F.sum(limb).alias(f"{name}_{i}") for i, limb in enumerate(_limbs(column))]
-
-
-def sum_of_limbs(name: str) -> Column:
-    """``exact_sum`` over groups whose sums are kept as ``limb_sums``."""
-    return _joined([F.sum(f"{name}_{i}") for i in range(LIMBS)])
-
-
-def _limbs(column: str | Column) -> list[Column]:
-    """Two whole and three fractional limbs as signed integers, and the value if it is large."""
-    value, base = number(column), float(2**LIMB_BITS)
-    small = F.when(F.abs(value) < LARGEST_SPLIT, F.abs(value))
-    sign = F.signum(value).cast("bigint")
-    whole = F.floor(small)
-    high = F.floor(whole.cast("double") / base)
-    limbs = [high, whole - high * 2**LIMB_BITS]
-    rest = small - whole
-    for _ in range(3):
-        rest = rest * base
-        limbs.append(F.floor(rest))
-        rest = rest - F.floor(rest)
-    return [limb * sign for limb in limbs] + [F.when(F.abs(value) >= LARGEST_SPLIT, value)]
-
-
-def _joined(sums: list[Column]) -> Column:
-    """The sum of large values alone, of small ones alone, or both; null if there is neither."""
-    *limbs, large = sums
-    total = F.lit(0.0)
-    for place, limb in reversed(list(enumerate(limbs))):
-        total = total + limb.cast("double") * float(2**LIMB_BITS) ** (1 - place)
-    return F.coalesce(total + large, total, large)
-
-
-def exact_avg(column: str | Column) -> Column:
-    """Mean over the non-missing values, as ``exact_sum`` adds them up."""
-    return exact_sum(column) / F.count(number(column))
-
-
 def days_between(end: str, start: str) -> Column:
     """Whole calendar days from ``start`` to ``end``."""
     return F.datediff(F.to_date(end), F.to_date(start))

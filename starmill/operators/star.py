@@ -13,7 +13,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_avg
+from starmill.functions import number
+from starmill.operators.sums import totals, with_limbs
 
 Tables = Mapping[str, DataFrame]
 
@@ -93,9 +94,12 @@ def distinct_orders(lines: DataFrame, orders: DataFrame, keys: list[str], alias:
 
 def centroids(geolocation: DataFrame) -> DataFrame:
     """One row per zip prefix: the mean position of its many geolocation rows."""
-    return geolocation.groupBy("geolocation_zip_code_prefix").agg(
-        exact_avg("geolocation_lat").alias("lat"),
-        exact_avg("geolocation_lng").alias("lng"),
+    source = {"lat": "geolocation_lat", "lng": "geolocation_lng"}
+    counts = {f"{name}_n": F.count(number(column)) for name, column in source.items()}
+    zips = "geolocation_zip_code_prefix"
+    sums = totals(with_limbs(geolocation, **source), [zips], list(source), counts)
+    return sums.select(
+        zips, *[(F.col(n) / F.nullif(f"{n}_n", F.lit(0))).alias(n) for n in source]
     )
 
 

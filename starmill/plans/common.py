@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import limb_sums, number
+from starmill.functions import number
 from starmill.operators.star import Tables, star_join, translated
+from starmill.operators.sums import add_up, with_limbs
 
 PURCHASE = "order_purchase_timestamp"
 CATEGORY = "product_category_name_english"
@@ -38,20 +39,14 @@ def with_purchase(orders: DataFrame) -> DataFrame:
 def product_sums(t: Tables, *keys: Column) -> DataFrame:
     """Lines per (period, product), before any product attribute is joined.
 
-    ``lines``: line items; ``priced``: those with a price; ``spent_*``: the sum of their prices,
-    for ``sum_of_limbs``.
+    ``lines``: line items; ``priced``: those with a price; ``spent_*``: the sum of their prices, to
+    be added up again.
     After the join of lines and orders only this much is shuffled by product, so neither a hot
     product nor a null category is ever a key at line grain.
     """
-    return (
-        star_join(t, ["orders", "order_items"])
-        .groupBy(*keys, "product_id")
-        .agg(
-            F.count("*").alias("lines"),
-            F.count(number("price")).alias("priced"),
-            *limb_sums("price", "spent"),
-        )
-    )
+    lines = star_join(t, ["orders", "order_items"])
+    counts = {"lines": F.count("*"), "priced": F.count(number("price"))}
+    return add_up(with_limbs(lines, spent="price"), [*keys, "product_id"], ["spent"], counts)
 
 
 def category_sums(t: Tables, *keys: Column, how: str = "left") -> DataFrame:

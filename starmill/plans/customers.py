@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_sum
 from starmill.operators.quantiles import cut_points, exact_quantiles
-from starmill.operators.star import Tables, order_ids, per_order, star_join
+from starmill.operators.star import Tables, order_ids, star_join
+from starmill.operators.sums import add_up, once, totals, with_limbs
 from starmill.plans.common import PURCHASE, delivered, with_purchase
 from starmill.plans.registry import mart
 
@@ -39,18 +39,17 @@ def customer_rfm_segments(
     ``floors``. The people are read several times: ``keep`` may store them, such as
     ``session.stored`` does; without it the mart is built lazily and computes them again.
     """
-    paid = per_order(t["order_payments"], exact_sum("payment_value").alias("paid"))
+    limbs = with_limbs(t["order_payments"], monetary="payment_value")
+    paid = once(add_up(limbs, ["order_id"], ["monetary"]), ["order_id"], "monetary", "orders")
     bought = (
         star_join({**t, "orders": with_purchase(delivered(t["orders"]))}, ["orders", "customers"])
         .join(paid, "order_id")
         .join(order_ids(t["order_items"]), "order_id", "left_semi")
     )
     people = (
-        bought.groupBy("customer_unique_id")
-        .agg(
-            F.to_date(F.max(PURCHASE)).alias("last_day"),
-            F.count("order_id").alias("frequency"),
-            exact_sum("paid").alias("monetary"),
+        totals(
+            bought, ["customer_unique_id"], ["monetary"], {"frequency": F.sum("orders")},
+            {"last_day": F.to_date(F.max(PURCHASE))},
         )
         .filter(F.col("monetary") > 0)
         # Days before the epoch day order people as recency does, without knowing the last day.

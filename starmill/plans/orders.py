@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import days_between, exact_sum, number
+from starmill.functions import days_between, number
 from starmill.operators.quantiles import cut_points, exact_quantiles
 from starmill.operators.star import Tables, distinct_orders, per_order, star_join, translated
+from starmill.operators.sums import add_up, totals, with_limbs
 from starmill.plans.common import (
     CATEGORY,
     LINES,
@@ -110,8 +113,11 @@ def order_count_by_state_and_category(t: Tables) -> DataFrame:
 )
 def product_category_order_count_monthly(t: Tables) -> DataFrame:
     """Line items per category and calendar month, over all years; translated categories only."""
+    lines = star_join(t, ["orders", "order_items"]).groupBy(month("order_month"), "product_id").agg(
+        F.count("*").alias("lines")
+    )
     return (
-        category_sums(t, month("order_month"), how="inner")
+        lines.join(translated(t["products"], t["category_translation"], "inner"), "product_id")
         .groupBy("product_category_name", "order_month")
         .agg(F.sum("lines").alias("order_count"))
     )
@@ -174,16 +180,19 @@ def order_basket_detail(t: Tables) -> DataFrame:
     return per_order(t["order_items"], F.count("*").alias("basket_size"))
 
 
-def _per_product(items: DataFrame, *columns: str) -> DataFrame:
+def _per_product(items: DataFrame, *columns: str, keys: Sequence[str] = ("product_id",)) -> DataFrame:
     """Sum and count of each column per product, before any product attribute is joined."""
-    measures = []
-    for c in columns:
-        measures += [exact_sum(c).alias(f"{c}_sum"), F.count(number(c)).alias(f"{c}_n")]
-    return items.groupBy("product_id").agg(*measures)
+    counts = {f"{c}_n": F.count(number(c)) for c in columns}
+    return add_up(with_limbs(items, **{c: c for c in columns}), keys, columns, counts)
 
 
-def _mean(column: str):
-    return exact_sum(f"{column}_sum") / F.sum(f"{column}_n")
+def _means(sums: DataFrame, key: str, **means: str) -> DataFrame:
+    """Per ``key``, each mean of a column of ``_per_product`` under its name."""
+    columns = list(means.values())
+    found = totals(sums, [key], columns, {f"{c}_n": F.sum(f"{c}_n") for c in columns})
+    return found.select(
+        key, *[(F.col(c) / F.nullif(f"{c}_n", F.lit(0))).alias(n) for n, c in means.items()]
+    )
 
 
 @mart(
@@ -194,12 +203,8 @@ def _mean(column: str):
 )
 def average_freight_cost_by_category(t: Tables) -> DataFrame:
     """Mean freight per untranslated category name; products without one form a null group."""
-    return (
-        _per_product(t["order_items"], "freight_value")
-        .join(t["products"], "product_id")
-        .groupBy("product_category_name")
-        .agg(_mean("freight_value").alias("avg_freight_cost"))
-    )
+    sums = _per_product(t["order_items"], "freight_value").join(t["products"], "product_id")
+    return _means(sums, "product_category_name", avg_freight_cost="freight_value")
 
 
 @mart(
@@ -223,21 +228,12 @@ def freight_by_category_filtered(
     if states is not None:
         customers = customers.filter(F.col("customer_state").isin(list(states)))
     chosen = star_join({**t, "orders": orders, "customers": customers}, ["orders", "customers"])
-    freight = (
-        t["order_items"]
-        .groupBy("order_id", "product_id")
-        .agg(
-            exact_sum("freight_value").alias("freight"),
-            F.count(number("freight_value")).alias("n"),
-        )
-        .join(chosen.select("order_id"), "order_id")
-        .groupBy("product_id")
-        .agg(exact_sum("freight").alias("freight_value_sum"), F.sum("n").alias("freight_value_n"))
-    )
-    return (
-        freight.join(t["products"], "product_id")
-        .groupBy("product_category_name")
-        .agg(_mean("freight_value").alias("avg_freight_cost"))
+    pairs = _per_product(t["order_items"], "freight_value", keys=["order_id", "product_id"])
+    known = pairs.join(chosen.select("order_id"), "order_id")
+    sums = add_up(known, ["product_id"], ["freight_value"], {"freight_value_n": F.sum("freight_value_n")})
+    return _means(
+        sums.join(t["products"], "product_id"), "product_category_name",
+        avg_freight_cost="freight_value",
     )
 
 
@@ -248,15 +244,10 @@ def freight_by_category_filtered(
 )
 def freight_by_category(t: Tables) -> DataFrame:
     """Mean freight and price per English category; untranslated ones form a null group."""
-    return (
-        _per_product(t["order_items"], "freight_value", "price")
-        .join(translated(t["products"], t["category_translation"]), "product_id")
-        .groupBy(CATEGORY)
-        .agg(
-            _mean("freight_value").alias("avg_freight_value"),
-            _mean("price").alias("avg_price"),
-        )
+    sums = _per_product(t["order_items"], "freight_value", "price").join(
+        translated(t["products"], t["category_translation"]), "product_id"
     )
+    return _means(sums, CATEGORY, avg_freight_value="freight_value", avg_price="price")
 
 
 @mart(

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_sum
 from starmill.operators.star import Tables, order_ids, star_join
+from starmill.operators.sums import add_up, once, totals, with_limbs
 from starmill.plans.common import month, year
 from starmill.plans.registry import mart
 
@@ -15,9 +15,9 @@ PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
 
 
 def _paid_by_type(payments: DataFrame) -> DataFrame:
-    """One row per order and payment type, so that an order's many payments shuffle as few."""
-    paid = exact_sum("payment_value").alias("paid")
-    return payments.groupBy("order_id", "payment_type").agg(paid)
+    """Sums per order and payment type, so that an order's many payments shuffle as few."""
+    limbs = with_limbs(payments, payment_value="payment_value")
+    return add_up(limbs, ["order_id", "payment_type"], ["payment_value"])
 
 
 @mart(
@@ -45,9 +45,13 @@ def average_installments_by_payment_type_monthly(t: Tables) -> DataFrame:
     between={"average_installments": (1, float("inf"))},
 )
 def installments_by_payment_type(t: Tables) -> DataFrame:
-    return t["order_payments"].groupBy("payment_type").agg(
-        F.avg("payment_installments").alias("average_installments"),
-        exact_sum("payment_value").alias("payment_value"),
+    limbs = with_limbs(t["order_payments"], payment_value="payment_value")
+    parts = "payment_installments"
+    counts = {"parts": F.sum(parts), "n": F.count(parts)}
+    return totals(limbs, ["payment_type"], ["payment_value"], counts).select(
+        "payment_type",
+        (F.col("parts") / F.nullif("n", F.lit(0))).alias("average_installments"),
+        "payment_value",
     )
 
 
@@ -60,15 +64,11 @@ def installments_by_payment_type(t: Tables) -> DataFrame:
     in_set={"payment_type": PAYMENT_TYPES},
 )
 def payment_mix_by_state(t: Tables) -> DataFrame:
-    return (
-        _paid_by_type(t["order_payments"])
-        .join(star_join(t, ["orders", "customers"]), "order_id")
-        .groupBy("customer_state", "payment_type")
-        .agg(
-            exact_sum("paid").alias("payment_value"),
-            F.countDistinct("order_id").alias("order_count"),
-        )
-    )
+    paid = _paid_by_type(t["order_payments"])
+    pairs = once(paid, ["order_id", "payment_type"], "payment_value", "order_count")
+    known = pairs.join(star_join(t, ["orders", "customers"]), "order_id")
+    keys, counts = ["customer_state", "payment_type"], {"order_count": F.sum("order_count")}
+    return totals(known, keys, ["payment_value"], counts)
 
 
 @mart(
@@ -80,10 +80,10 @@ def payment_mix_by_state(t: Tables) -> DataFrame:
 )
 def monthly_revenue_by_payment_type(t: Tables) -> DataFrame:
     """Each payment counts once; items only prove that the order has lines."""
-    return (
+    paid = (
         _paid_by_type(t["order_payments"])
         .join(t["orders"], "order_id")
         .join(order_ids(t["order_items"]), "order_id", "left_semi")
-        .groupBy(year("order_year"), month("order_month"), "payment_type")
-        .agg(exact_sum("paid").alias("payment_value"))
     )
+    keys = [year("order_year"), month("order_month"), "payment_type"]
+    return totals(paid, keys, ["payment_value"])

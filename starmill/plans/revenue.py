@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_avg, exact_sum, sum_of_limbs
-from starmill.operators.star import Tables, per_order, star_join
+from starmill.operators.star import Tables, star_join
+from starmill.operators.sums import add_up, once, totals, with_limbs
 from starmill.plans.common import (
     CATEGORY,
     LINES,
@@ -54,16 +54,16 @@ def monthly_revenue_summary(
         orders = in_months(orders, years, months)
     items = t["order_items"].filter(F.col("price").isNotNull())
     wanted = {**t, "orders": orders, "order_items": items}
-    spent = sum_of_limbs("spent")
-    return (
-        category_sums(wanted, year("order_year"), month("order_month"))
-        .filter(F.col(CATEGORY).isNotNull())
-        .groupBy("order_year", "order_month", CATEGORY)
-        .agg(
-            spent.alias("total_revenue"),
-            F.sum("lines").alias("total_orders"),
-            (spent / F.nullif(F.sum("priced"), F.lit(0))).alias("avg_order_value"),
-        )
+    sums = category_sums(wanted, year("order_year"), month("order_month")).filter(
+        F.col(CATEGORY).isNotNull()
+    )
+    keys = ["order_year", "order_month", CATEGORY]
+    counts = {"lines": F.sum("lines"), "priced": F.sum("priced")}
+    return totals(sums, keys, ["spent"], counts).select(
+        *keys,
+        F.col("spent").alias("total_revenue"),
+        F.col("lines").alias("total_orders"),
+        (F.col("spent") / F.nullif("priced", F.lit(0))).alias("avg_order_value"),
     )
 
 
@@ -78,21 +78,16 @@ def monthly_revenue_summary(
 )
 def monthly_revenue_distinct_orders(t: Tables) -> DataFrame:
     """The intended form of the monthly summary: distinct orders, revenue per order."""
-    spent = (
-        item_categories(t)
-        .filter(F.col("price").isNotNull() & F.col(CATEGORY).isNotNull())
-        .groupBy("order_id", CATEGORY)
-        .agg(exact_sum("price").alias("spent"))
-    )
-    revenue, orders = exact_sum("spent"), F.countDistinct("order_id")
-    return (
-        spent.join(with_purchase(delivered(t["orders"])), "order_id")
-        .groupBy(year("order_year"), month("order_month"), CATEGORY)
-        .agg(
-            revenue.alias("total_revenue"),
-            orders.alias("total_orders"),
-            (revenue / orders).alias("avg_order_value"),
-        )
+    lines = item_categories(t).filter(F.col("price").isNotNull() & F.col(CATEGORY).isNotNull())
+    pairs = ["order_id", CATEGORY]
+    spent = once(add_up(with_limbs(lines, spent="price"), pairs, ["spent"]), pairs, "spent", "orders")
+    known = spent.join(with_purchase(delivered(t["orders"])), "order_id")
+    keys = [year("order_year"), month("order_month"), CATEGORY]
+    return totals(known, keys, ["spent"], {"orders": F.sum("orders")}).select(
+        "order_year", "order_month", CATEGORY,
+        F.col("spent").alias("total_revenue"),
+        F.col("orders").alias("total_orders"),
+        (F.col("spent") / F.nullif("orders", F.lit(0))).alias("avg_order_value"),
     )
 
 
@@ -105,11 +100,9 @@ def monthly_revenue_distinct_orders(t: Tables) -> DataFrame:
 )
 def monthly_average_revenue_by_product(t: Tables) -> DataFrame:
     """Literal: the sum of prices per product and month, despite the name."""
-    return (
-        star_join({**t, "orders": delivered(t["orders"])}, ["orders", "order_items"])
-        .groupBy(year(), month(), "product_id")
-        .agg(exact_sum("price").alias("total_revenue"))
-    )
+    lines = star_join({**t, "orders": delivered(t["orders"])}, ["orders", "order_items"])
+    priced = with_limbs(lines, total_revenue="price")
+    return totals(priced, [year(), month(), "product_id"], ["total_revenue"])
 
 
 @mart(
@@ -121,15 +114,14 @@ def monthly_average_revenue_by_product(t: Tables) -> DataFrame:
 )
 def avg_order_revenue_by_product_monthly(t: Tables) -> DataFrame:
     """Per product and month, the mean over orders of what the order spent on the product."""
-    spent = (
-        t["order_items"]
-        .groupBy("order_id", "product_id")
-        .agg(exact_sum("price").alias("spent"))
-    )
-    return (
-        spent.join(delivered(t["orders"]), "order_id")
-        .groupBy(year(), month(), "product_id")
-        .agg(exact_avg("spent").alias("average_revenue"))
+    pairs = ["order_id", "product_id"]
+    spent = add_up(with_limbs(t["order_items"], spent="price"), pairs, ["spent"])
+    known = once(spent, pairs, "spent", "orders").join(delivered(t["orders"]), "order_id")
+    priced = F.count_if((F.col("orders") == 1) & F.col("spent_bin").isNotNull())
+    sums = totals(known, [year(), month(), "product_id"], ["spent"], {"orders": priced})
+    return sums.select(
+        "year", "month", "product_id",
+        (F.col("spent") / F.nullif("orders", F.lit(0))).alias("average_revenue"),
     )
 
 
@@ -142,8 +134,7 @@ def avg_order_revenue_by_product_monthly(t: Tables) -> DataFrame:
 )
 def quarterly_revenue_summary(t: Tables) -> DataFrame:
     """Literal: grouped by month, and the price is multiplied by the line's sequence number."""
-    weighted = exact_sum(F.col("price") * F.col("order_item_id")).alias("revenue")
-    return _by_period(t, weighted, year(), month())
+    return _by_period(t, F.col("price") * F.col("order_item_id"), year(), month())
 
 
 @mart(
@@ -155,16 +146,12 @@ def quarterly_revenue_summary(t: Tables) -> DataFrame:
 )
 def quarterly_revenue_by_quarter(t: Tables) -> DataFrame:
     """The intended form: delivered revenue per calendar quarter."""
-    return _by_period(t, exact_sum("price").alias("revenue"), year(), quarter())
+    return _by_period(t, F.col("price"), year(), quarter())
 
 
-def _by_period(t: Tables, amount, *period) -> DataFrame:
-    return (
-        per_order(t["order_items"], amount)
-        .join(delivered(t["orders"]), "order_id")
-        .groupBy(*period)
-        .agg(exact_sum("revenue").alias("revenue"))
-    )
+def _by_period(t: Tables, amount: Column, *period: Column) -> DataFrame:
+    spent = add_up(with_limbs(t["order_items"], revenue=amount), ["order_id"], ["revenue"])
+    return totals(spent.join(delivered(t["orders"]), "order_id"), period, ["revenue"])
 
 
 @mart(
@@ -174,11 +161,10 @@ def _by_period(t: Tables, amount, *period) -> DataFrame:
 )
 def yearly_average_revenue_by_category(t: Tables) -> DataFrame:
     """Mean price of delivered lines; untranslated categories form a null group."""
-    priced = F.nullif(F.sum("priced"), F.lit(0))
-    return (
-        category_sums({**t, "orders": delivered(t["orders"])}, year())
-        .groupBy(CATEGORY, "year")
-        .agg((sum_of_limbs("spent") / priced).alias("average_revenue"))
+    sums = category_sums({**t, "orders": delivered(t["orders"])}, year())
+    return totals(sums, [CATEGORY, "year"], ["spent"], {"priced": F.sum("priced")}).select(
+        CATEGORY, "year",
+        (F.col("spent") / F.nullif("priced", F.lit(0))).alias("average_revenue"),
     )
 
 
@@ -193,11 +179,8 @@ def period_revenue_by_product(
 ) -> DataFrame:
     """Revenue per product and month inside the wanted months of the wanted years."""
     wanted = {**t, "orders": in_months(t["orders"], years, months)}
-    return (
-        star_join(wanted, ["orders", "order_items"])
-        .groupBy(year(), month(), "product_id")
-        .agg(exact_sum("price").alias("total_revenue"))
-    )
+    lines = with_limbs(star_join(wanted, ["orders", "order_items"]), total_revenue="price")
+    return totals(lines, [year(), month(), "product_id"], ["total_revenue"])
 
 
 @mart(
@@ -211,12 +194,10 @@ def period_revenue_total(
     t: Tables, years: Sequence[int] = YEARS, months: Sequence[int] = FIRST_QUARTER
 ) -> DataFrame:
     """Revenue per month. Payments are not joined: they would multiply the lines."""
-    return (
-        per_order(t["order_items"], exact_sum("price").alias("spent"))
-        .join(in_months(t["orders"], years, months), "order_id")
-        .groupBy(year(), month())
-        .agg(exact_sum("spent").alias("total_revenue"))
-    )
+    lines = with_limbs(t["order_items"], total_revenue="price")
+    spent = add_up(lines, ["order_id"], ["total_revenue"])
+    known = spent.join(in_months(t["orders"], years, months), "order_id")
+    return totals(known, [year(), month()], ["total_revenue"])
 
 
 @mart(
@@ -230,8 +211,6 @@ def period_revenue_by_category(
 ) -> DataFrame:
     """Revenue per month and category; the sum is over prices, not over repeated payments."""
     wanted = {**t, "orders": in_months(t["orders"], years, months)}
-    return (
-        category_sums(wanted, year(), month())
-        .groupBy("year", "month", CATEGORY)
-        .agg(sum_of_limbs("spent").alias("total_revenue"))
-    )
+    return totals(
+        category_sums(wanted, year(), month()), ["year", "month", CATEGORY], ["spent"]
+    ).withColumnRenamed("spent", "total_revenue")

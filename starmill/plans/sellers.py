@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions import exact_avg, exact_sum
 from starmill.operators.star import Tables, per_order
+from starmill.operators.sums import add_up, once, totals, with_limbs
 from starmill.plans.registry import mart
 
 TIERS = ("Gold", "Silver", "Bronze")
@@ -33,18 +33,27 @@ def seller_performance_scorecard(
     so that neither multiplies the other. Sellers without reviews are Bronze.
     """
     scores = per_order(t["order_reviews"], F.avg("review_score").alias("score"))
-    sold = t["order_items"].groupBy("order_id", "seller_id").agg(exact_sum("price").alias("spent"))
-    sales = (
-        sold.join(t["orders"].select("order_id", "order_status"), "order_id")
+    pairs = ["order_id", "seller_id"]
+    lines = with_limbs(t["order_items"], total_revenue="price")
+    sold = add_up(lines, pairs, ["total_revenue"])
+    known = (
+        once(sold, pairs, "total_revenue", "first")
+        .join(t["orders"].select("order_id", "order_status"), "order_id")
         .join(scores, "order_id", "left")
-        .groupBy("seller_id")
-        .agg(
-            exact_avg("score").alias("avg_review_score"),
-            exact_sum("spent").alias("total_revenue"),
-            F.avg(F.when(F.col("order_status") == "canceled", 1).otherwise(0)).alias(
-                "cancellation_rate"
-            ),
-        )
+    )
+    first = F.col("first") == 1
+    scored = with_limbs(known, score=F.when(first, F.col("score")))
+    counts = {
+        "orders": F.sum("first"),
+        "scored": F.count("score_bin"),
+        "canceled": F.count_if(first & (F.col("order_status") == "canceled")),
+    }
+    sums = totals(scored, ["seller_id"], ["score", "total_revenue"], counts)
+    sales = sums.select(
+        "seller_id",
+        (F.col("score") / F.nullif("scored", F.lit(0))).alias("avg_review_score"),
+        "total_revenue",
+        (F.col("canceled") / F.col("orders")).alias("cancellation_rate"),
     )
     tier = (
         F.when(
