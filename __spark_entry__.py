@@ -37,7 +37,6 @@ MART_ARGS: dict[str, dict] = {
     "period_revenue_total": {"years": YEARS},
     "period_revenue_by_category": {"years": YEARS},
     "sp_delivery_delays": {"state": "ASIA"},
-    "customer_rfm_segments": {"keep": lambda people: stored(people, "rfm-people")},
     "seller_performance_scorecard": {
         "gold_score": 3.0, "gold_cancel": 0.33, "silver_score": 2.9,
     },

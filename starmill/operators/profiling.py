@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
@@ -24,9 +25,9 @@ def profile_columns(
 ) -> DataFrame:
     """One row per column: type, counts, distinct values, and for numbers their distribution.
 
-    The plain statistics are one aggregate without a shuffle. Distinct values and quartiles
-    come from value counts, which spread over (column, value) pairs. With ``distinct_error``
-    the distinct values are estimated to that relative error inside the plain aggregate.
+    The plain statistics are one aggregate without a shuffle. Distinct values are counted per
+    (column, value) in the columns' own types, one shuffle per type. With ``distinct_error`` they
+    are estimated to that relative error inside the plain aggregate. Quartiles are exact.
     """
     numbers = set(numeric_columns(df))
     aggs, rows = [], []
@@ -56,11 +57,15 @@ def profile_columns(
         )
     result = df.agg(*aggs).select(F.inline(F.array(*rows)))
     if distinct_error is None:
-        distinct = (
-            value_counts(df, df.columns, "string")
-            .groupBy("column")
-            .agg(F.count("*").alias("distinct"))
-        )
+        by_type: dict[str, list[str]] = {}
+        for f in df.schema.fields:
+            kind = f.dataType.simpleString() if isinstance(f.dataType, T.AtomicType) else "string"
+            by_type.setdefault(kind, []).append(f.name)
+        counts = [
+            value_counts(df, names, kind).groupBy("column").agg(F.count("*").alias("distinct"))
+            for kind, names in by_type.items()
+        ]
+        distinct = reduce(DataFrame.unionAll, counts)
         result = result.join(distinct, "column", "left").fillna(0, ["distinct"])
     names = [f"p{round(q * 100)}" for q in quartiles]
     if not numbers:

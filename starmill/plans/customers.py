@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from starmill.operators.star import Tables, order_ids, star_join
 from starmill.operators.sums import add_up, once, totals, with_limbs
 from starmill.plans.common import PURCHASE, delivered, with_purchase
 from starmill.plans.registry import mart
+from starmill.session import stored
 
 # Segment names, best first.
 SEGMENTS = ("Champion", "Loyal", "Potential", "At Risk", "Lost")
@@ -30,14 +31,12 @@ def customer_rfm_segments(
     t: Tables,
     quantiles: Sequence[float] = (0.2, 0.4, 0.6, 0.8),
     floors: Sequence[int] = (13, 10, 8, 6),
-    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Recency, frequency and spending of each person over delivered orders.
 
     An order counts if it has a purchase time, lines and payments. Each of the three measures
     scores one point per quantile passed plus one; the sum of the points picks the segment by
-    ``floors``. The people are read several times: ``keep`` may store them, such as
-    ``session.stored`` does; without it the mart is built lazily and computes them again.
+    ``floors``. The people are stored, since the quantiles and the scores read them.
     """
     limbs = with_limbs(t["order_payments"], monetary="payment_value")
     paid = once(add_up(limbs, ["order_id"], ["monetary"]), ["order_id"], "monetary", "orders")
@@ -46,16 +45,16 @@ def customer_rfm_segments(
         .join(paid, "order_id")
         .join(order_ids(t["order_items"]), "order_id", "left_semi")
     )
-    people = (
+    people = stored(
         totals(
             bought, ["customer_unique_id"], ["monetary"], {"frequency": F.sum("orders")},
             {"last_day": F.to_date(F.max(PURCHASE))},
         )
         .filter(F.col("monetary") > 0)
         # Days before the epoch day order people as recency does, without knowing the last day.
-        .withColumn("age", -F.unix_date("last_day"))
+        .withColumn("age", -F.unix_date("last_day")),
+        "rfm-people",
     )
-    people = keep(people) if keep else people
     measures = ["age", "frequency", "monetary"]
     cuts = cut_points(exact_quantiles(people, measures, quantiles), measures, quantiles)
     today = people.agg(F.max("last_day")).scalar()

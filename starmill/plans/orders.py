@@ -24,6 +24,7 @@ from starmill.plans.common import (
     year,
 )
 from starmill.plans.registry import mart
+from starmill.session import stored
 
 
 @mart(
@@ -311,9 +312,15 @@ def sp_delivery_delays(t: Tables, state: str = "SP") -> DataFrame:
     not_null=("product_id",),
 )
 def product_price_weight_flags(t: Tables, percentile: float = 0.95) -> DataFrame:
-    """Line items whose price or product weight lies above the given percentile."""
-    lines = t["order_items"].join(t["products"], "product_id").select(
-        "product_id", "price", "product_weight_g"
+    """Line items whose price or product weight lies above the given percentile.
+
+    The joined lines are stored, since the percentiles and the flags read them.
+    """
+    lines = stored(
+        t["order_items"].join(t["products"], "product_id").select(
+            "product_id", "price", "product_weight_g"
+        ),
+        "flag-lines",
     )
     flagged = ["price", "product_weight_g"]
     cuts = cut_points(exact_quantiles(lines, flagged, [percentile]), flagged, [percentile])

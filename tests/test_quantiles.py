@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from starmill.operators import quantiles
+from starmill.operators import quantiles, scans
 from starmill.operators.quantiles import exact_quantiles
 
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.95, 0.999, 1.0]
@@ -45,19 +45,47 @@ def test_several_columns_at_once(spark):
     }
 
 
-def test_windows_see_few_values_whatever_the_distribution(spark, monkeypatch):
-    """400,000 values below 4e-7 and one of 0.0009: the last window ranks single values."""
+def test_brackets_hold_few_of_many_values(spark, monkeypatch):
+    """400,000 values below 4e-7 and one of 0.0009: only values near the wanted rank are counted."""
     df = spark.range(400_000).selectExpr("(id + 1) * 1e-12 AS v").unionAll(
         spark.sql("SELECT 0.0009D AS v"))
     seen = []
-    original = quantiles.numbered_values
-
-    def counted(counts, spans):
-        ranked = original(counts, spans)
-        seen.append(max(r["count"] for r in ranked.groupBy("column", "low").count().collect()))
-        return ranked
-
-    monkeypatch.setattr(quantiles, "numbered_values", counted)
+    original = quantiles._counted
+    monkeypatch.setattr(
+        quantiles, "_counted", lambda *args: seen.append(original(*args)) or original(*args))
     found = exact_quantiles(df, ["v"], [0.5]).first().value
     assert found == pytest.approx(200_001 * 1e-12, rel=1e-9)
-    assert seen == [1]
+    assert len(seen) == 1
+    assert 1 < seen[0].filter("value IS NOT NULL").count() < 4000
+    assert seen[0].filter("value IS NULL").count() == 2
+
+
+def test_a_missed_rank_is_found(spark, monkeypatch):
+    """Brackets that lie elsewhere cost another pass, not the result."""
+    df = spark.range(1000).selectExpr("cast(id AS double) AS v", "cast(id % 7 AS double) AS w")
+    passes = []
+    original = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *args: passes.append(1) or original(*args))
+    monkeypatch.setattr(quantiles, "_brackets", lambda values, columns, probabilities: (
+        {c: 1000 for c in columns}, {"v": [(3.0, 5.0), (700.0, 701.0)], "w": []}))
+    found = {(r["column"], r.probability): r.value
+             for r in exact_quantiles(df, ["v", "w"], [0.0, 0.5, 0.9]).collect()}
+    assert found == {
+        ("v", 0.0): 0.0, ("v", 0.5): 499.5, ("v", 0.9): pytest.approx(899.1),
+        ("w", 0.0): 0.0, ("w", 0.5): 3.0, ("w", 0.9): 6.0}
+    assert len(passes) == 2
+
+
+def test_two_reads_and_few_exchanges(spark, tmp_path, monkeypatch):
+    """The counting pass has one exchange below the two that number its result."""
+    plans = []
+    original = scans.stored
+    monkeypatch.setattr(scans, "stored", lambda df, label: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or original(df, label))
+    spark.range(5000).selectExpr("id", "id % 13 other").write.parquet(str(tmp_path / "t"))
+    result = exact_quantiles(spark.read.parquet(str(tmp_path / "t")), ["id", "other"], [0.2, 0.8])
+    assert result.count() == 4
+    assert len(plans) == 1
+    assert plans[0].count("Exchange ") == 3 and plans[0].count("FileScan") == 1
+    final = result._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "t") not in final
