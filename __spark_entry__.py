@@ -87,6 +87,21 @@ def scan_bronze_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def scan_bronze_csv_multiline(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews whose comments hold line breaks, quotes and commas, written as CSV and read back."""
+    lake = _lake(spark, "scan-csv-lines")
+    title = F.concat(F.lit('said "'), F.col("review_id"), F.lit('",\nand '), F.col("review_score"))
+    message = F.when(F.col("review_id") % 3 > 0, F.concat(F.lit("one\n\n"), title))
+    reviews = conform(_table(spark, folder, "order_reviews"), "order_reviews").withColumns(
+        {"review_comment_title": title, "review_comment_message": message}
+    )
+    reviews.write.options(**CSV_OPTIONS).csv(lake.bronze_path("order_reviews", "csv"))
+    return read_bronze(spark, lake, "olist_order_reviews_raw", "csv").select(
+        "review_id", "review_score", "review_comment_title", "review_comment_message",
+        F.to_date("review_creation_date").alias("created"),
+    )
+
+
 def _write_mart(spark: SparkSession, folder: str, name: str, **options) -> tuple[LakeConfig, str]:
     lake = _lake(spark, name)
     mart = starmill.spec(name)
@@ -414,7 +429,7 @@ def log_first_failure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _OPERATORS = (
-    scan_bronze_parquet, scan_bronze_csv, sink_gold_parquet, sink_gold_partition_overwrite,
+    scan_bronze_parquet, scan_bronze_csv, scan_bronze_csv_multiline, sink_gold_parquet, sink_gold_partition_overwrite,
     catalog_register_gold, gold_preview, filter_period_in, join_translation_left,
     join_geolocation_zip, star_join, check_acceptance_sql, check_row_predicates, check_not_null,
     check_between, check_in_set, check_rowcount_equals_distinct, check_unique_grain,

@@ -262,6 +262,13 @@ _SQL.update({
             order_status, CAST(bought AS DATE) AS purchase_date,
             CAST(delivered AS DATE) AS delivered_date, CAST(estimated AS DATE) AS estimated_date
         FROM o""",
+    "scan_bronze_csv_multiline": """
+        SELECT CAST(order_id AS VARCHAR) AS review_id, score AS review_score,
+            'said "' || order_id || '",' || chr(10) || 'and ' || score AS review_comment_title,
+            CASE WHEN order_id % 3 > 0 THEN 'one' || chr(10) || chr(10) || 'said "' || order_id
+                || '",' || chr(10) || 'and ' || score END AS review_comment_message,
+            CAST(ts AS DATE) AS created
+        FROM rev""",
     "sink_gold_parquet": "SELECT * FROM monthly_revenue_summary",
     "sink_gold_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN order_year = 1997 THEN total_revenue * 2

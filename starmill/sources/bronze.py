@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions import parse_ts
+from starmill.sources import records
 from starmill.sources.schemas import BRONZE, CSV_FILES, entity_name, raw_table_name
 
 # Quotes inside a quoted CSV field are doubled.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
-# Tables whose quoted fields hold line breaks; such a file is read by one task.
+# Tables whose quoted fields hold line breaks.
 MULTILINE = ("order_reviews",)
 
 
@@ -64,7 +65,8 @@ def read_bronze(
     cannot be read as its type is null. A CSV file must have every declared column in its header;
     columns that a Parquet file lacks are null. A table without a known CSV file is read as
     Parquet, and one that is not declared as it is. ``infer_schema`` leaves a CSV file's columns
-    as they are found, with inferred types, at the cost of one more pass.
+    as they are found, with inferred types, at the cost of one more pass. Reviews, whose fields
+    hold line breaks, are read by many tasks (``records``), unless types are inferred.
     """
     entity = entity_name(table)
     fmt = (fmt or lake.bronze_format).lower()
@@ -75,9 +77,12 @@ def read_bronze(
         found = spark.read.parquet(path)
         return conform(found, entity) if entity in BRONZE else found
     options = {**CSV_OPTIONS, "inferSchema": str(infer_schema).lower(), **csv_options}
-    if entity in MULTILINE:
-        options["multiLine"] = "true"
-    found = spark.read.options(**options).csv(path)
+    if entity not in MULTILINE:
+        found = spark.read.options(**options).csv(path)
+    elif infer_schema:
+        found = spark.read.options(**options, multiLine="true").csv(path)
+    else:
+        found = records.read_csv(spark, path, **options)
     if infer_schema or entity not in BRONZE:
         return found
     missing = [c for c, _ in declared(entity) if c not in found.columns]

@@ -1,6 +1,7 @@
 """Readers, writers and the catalog."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from starmill import session
 from conftest import rows
 from starmill.functions import month_label, number_or_zero, parse_ts, quarter_label
 from starmill.operators import logs
-from starmill.sources import gold
+from starmill.sources import gold, records
 from starmill.jobs import run_mart
 from starmill.sources.schemas import CSV_FILES
 from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronze, read_tables
@@ -262,6 +263,49 @@ def test_csv_fields_may_hold_line_breaks(spark, tmp_path):
     assert (second.review_score, second.review_creation_date) == (None, None)
 
 
+def _odd_csv(path, rng, rows, end):
+    """A CSV file with quoted breaks, quotes and commas, blank lines and ragged rows."""
+    parts = ["a", "é", " ", ",", "\n", "\r\n", '""', "x" * 40, ";", "\n\n", "中"]
+    lines = ["id,title,text"]
+    for i in range(rows):
+        title = "".join(rng.choice(parts) for _ in range(rng.randint(0, 6)))
+        kind = rng.randrange(6)
+        lines.append({
+            0: f'{i},plain,', 1: f'{i},"{title}","{title}{i}"', 2: f'{i},"",', 3: f'{i},"{title}"',
+            4: f'"{i}","{title}\n","one, two"', 5: f'{i},a b c,"{"line" + chr(10)}"',
+        }[kind])
+        if rng.random() < 0.05:
+            lines.append("")
+    path.write_bytes((end.join(lines) + rng.choice(["", end])).encode())
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_breaks_across_many_ranges(spark, conf, tmp_path, end):
+    """Byte ranges of 512 bytes give what one task reads."""
+    rng = random.Random(11)
+    for number in range(3):
+        _odd_csv(tmp_path / f"part{number}.csv", rng, 400, end)
+    options = {"quote": '"', "escape": '"'}
+    whole = spark.read.options(header="true", multiLine="true", **options).csv(str(tmp_path))
+    want = sorted(whole.collect(), key=str)
+    conf(spark__sql__files__maxPartitionBytes="512", spark__sql__files__openCostInBytes="1")
+    found = records.read_csv(spark, str(tmp_path), **options)
+    assert found.columns == whole.columns
+    assert sorted(found.collect(), key=str) == want
+    assert len(want) == 1200
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 30
+
+
+def test_unpaired_quotes_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,text\n1,5" tall\n2,b\n')
+    options = {"quote": '"', "escape": '"'}
+    assert records.read_records(spark, str(tmp_path)) is None
+    found = records.read_csv(spark, str(tmp_path), **options)
+    whole = spark.read.options(header="true", multiLine="true", **options).csv(str(tmp_path))
+    assert found.collect() == whole.collect()
+    assert records.read_csv(spark, str(tmp_path), quote='"', escape="\\").columns == ["id", "text"]
+
+
 def test_parquet_types_are_read_as_declared(spark, tmp_path):
     lake = LakeConfig(str(tmp_path), bronze_prefix="b", bronze_format="parquet")
     spark.createDataFrame(
