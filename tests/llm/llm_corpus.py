@@ -20,6 +20,12 @@ def words(language, n, rng):
                     for _ in range(n))
 
 
+def grams(text):
+    """The text's distinct five-word shingles; fewer words are one."""
+    found = text.lower().split()
+    return {tuple(found[i:i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
 def packed_whole(pieces, texts, path, window=2048):
     """Every document's ids lie in exactly one piece each, and windows have no gaps."""
     tokenizer = Tokenizer.from_file(path)
