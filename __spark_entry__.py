@@ -132,6 +132,17 @@ def sink_gold_partition_overwrite(spark: SparkSession, folder: str) -> DataFrame
     return spark.read.parquet(path)
 
 
+def sink_gold_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """Publish a mart, then publish it again with doubled revenue; the catalog shows the second."""
+    name = "monthly_revenue_summary"
+    mart, lake = starmill.spec(name), _lake(spark, f"{name}-versions")
+    df = _mart(spark, folder, name)
+    for factor in (1, 2):
+        scaled = df.withColumn("total_revenue", F.col("total_revenue") * factor)
+        gold.publish_gold(scaled, lake, "gold.published_revenue", mart.columns)
+    return spark.table("gold.published_revenue")
+
+
 def catalog_register_gold(spark: SparkSession, folder: str) -> DataFrame:
     mart = starmill.spec("order_count_by_quarter")
     _, path = _write_mart(spark, folder, mart.name)
@@ -417,6 +428,32 @@ def _logs(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.read(spark, folder, "documents").selectExpr(path, text)
 
 
+def log_line_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Gzip logs of many documents each: kind, first line and size of each log's failure."""
+    starmill.configure(spark)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    path = starmill.scratch_dir(spark, "logs")
+    docs.select(
+        F.concat(F.lit("application_"), "source", F.lit("_"), F.col("doc_id") % 7).alias("job"),
+        "doc_id",
+        F.expr(
+            "concat(coalesce(text, ''), CASE WHEN doc_id % 11 = 0 THEN '\nTraceback (most recent call last):'"
+            " WHEN doc_id % 5 = 0 THEN '\npyspark.errors.AnalysisException: x' ELSE '' END)"
+        ).alias("text"),
+    ).repartition("job").sortWithinPartitions("job", "doc_id").drop("doc_id").write.partitionBy(
+        "job"
+    ).option("compression", "gzip").text(path)
+    lines = logs.read_log_lines(spark, path, "*.gz", "application_")
+    return logs.failure_lines(lines).groupBy("path", "kind").agg(
+        F.min_by("text", "place").alias("first_line"),
+        F.count("*").alias("n_lines"),
+        F.sum(F.length("text")).alias("n_chars"),
+    ).select(
+        F.regexp_extract("path", "(application_[^/]+)/", 1).alias("job"),
+        "kind", "first_line", "n_lines", "n_chars",
+    )
+
+
 def log_failure_scan(spark: SparkSession, folder: str) -> DataFrame:
     starmill.configure(spark)
     return logs.scan_failures(_logs(spark, folder))
@@ -430,14 +467,14 @@ def log_first_failure(spark: SparkSession, folder: str) -> DataFrame:
 
 _OPERATORS = (
     scan_bronze_parquet, scan_bronze_csv, scan_bronze_csv_multiline, sink_gold_parquet, sink_gold_partition_overwrite,
-    catalog_register_gold, gold_preview, filter_period_in, join_translation_left,
+    sink_gold_publish, catalog_register_gold, gold_preview, filter_period_in, join_translation_left,
     join_geolocation_zip, star_join, check_acceptance_sql, check_row_predicates, check_not_null,
     check_between, check_in_set, check_rowcount_equals_distinct, check_unique_grain,
     check_reconcile_bronze, check_period_scope, check_spot_value, check_non_empty,
     check_category_allowlist, validation_report, profile_columns, profile_top_values,
     profile_histogram, profile_correlation, profile_smoke, chart_preview_line, chart_rank_topn,
     chart_surface, chart_grouped_bar, chart_scatter, chart_composition, chart_column_roles,
-    log_failure_scan, log_first_failure,
+    log_failure_scan, log_first_failure, log_line_failures,
 )
 
 

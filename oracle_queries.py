@@ -273,6 +273,8 @@ _SQL.update({
     "sink_gold_partition_overwrite": """
         SELECT * REPLACE (CASE WHEN order_year = 1997 THEN total_revenue * 2
             ELSE total_revenue END AS total_revenue) FROM monthly_revenue_summary""",
+    "sink_gold_publish": """
+        SELECT * REPLACE (total_revenue * 2 AS total_revenue) FROM monthly_revenue_summary""",
     "catalog_register_gold": "SELECT * FROM order_count_by_quarter",
     "gold_preview": """
         SELECT * FROM order_count_by_seller_state_city ORDER BY seller_state, seller_city LIMIT 20""",
@@ -578,6 +580,26 @@ _SQL.update({
         _role(4, "total_orders", "metric"),
         _role(5, "avg_order_value", "metric"),
     ),
+    "log_line_failures": r"""
+        WITH l AS (
+            SELECT 'application_' || source || '_' || (doc_id % 7) AS job, doc_id,
+                string_split(coalesce(text, '') || CASE
+                    WHEN doc_id % 11 = 0 THEN chr(10) || 'Traceback (most recent call last):'
+                    WHEN doc_id % 5 = 0 THEN chr(10) || 'pyspark.errors.AnalysisException: x'
+                    ELSE '' END, chr(10)) AS parts
+            FROM documents),
+        n AS (
+            SELECT job, parts[i] AS line, row_number() OVER (PARTITION BY job ORDER BY doc_id, i) AS nr
+            FROM l, unnest(range(1, len(parts) + 1)) AS u(i)),
+        f AS (
+            SELECT job, min(CASE WHEN contains(line, 'Traceback (most recent call last)')
+                    THEN nr END) AS traced,
+                min(CASE WHEN contains(line, 'AnalysisException') THEN nr END) AS analysis
+            FROM n GROUP BY job)
+        SELECT job, CASE WHEN traced IS NOT NULL THEN 'traceback' ELSE 'analysis' END AS kind,
+            min_by(line, nr) AS first_line, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+        FROM n JOIN f USING (job) WHERE nr >= coalesce(traced, analysis)
+        GROUP BY job, traced""",
     "log_failure_scan": r"""
         WITH l AS (
             SELECT 'containers/application_' || source
@@ -633,7 +655,7 @@ _DOUBLES: dict[str, str] = {
         "total_revenue": "monthly_average_revenue_by_product period_revenue_by_product"
         " period_revenue_total period_revenue_by_category chart_preview_line",
         "total_revenue avg_order_value": "monthly_revenue_summary monthly_revenue_distinct_orders"
-        " sink_gold_parquet sink_gold_partition_overwrite filter_period_in",
+        " sink_gold_parquet sink_gold_partition_overwrite sink_gold_publish filter_period_in",
         "average_revenue": "avg_order_revenue_by_product_monthly yearly_average_revenue_by_category",
         "revenue": "quarterly_revenue_summary quarterly_revenue_by_quarter",
         "average_installments": "average_installments_by_payment_type_monthly chart_surface",

@@ -301,6 +301,12 @@ def mart_checks(table: DataFrame, spec: MartSpec) -> list[DataFrame]:
     return [*found, check_non_empty(table)]
 
 
+AUDIT_SCHEMA = (
+    "check string, passed boolean, severity string, message string, overall_passed boolean,"
+    " score double, run_id string"
+)
+
+
 def validation_report(parts: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
     """All checks with a severity (the mapping's key), a message and the overall verdict.
 
@@ -324,6 +330,17 @@ def validation_report(parts: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
 
 
 def append_audit(report: DataFrame, path: str, run_id: str) -> str:
-    """Append a validation report to the audit table at ``path``."""
-    report.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+    """Add a validation report to the audit table at ``path``.
+
+    Every run has a partition of its own, which a retry of that run replaces.
+    """
+    keyed = report.withColumn("run_id", F.lit(run_id))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run_id"
+    ).parquet(path)
     return path
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The audit table; run ids stay text, also where they look like numbers."""
+    return spark.read.schema(AUDIT_SCHEMA).parquet(path)

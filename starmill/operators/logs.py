@@ -18,6 +18,53 @@ def read_logs(spark: SparkSession, path: str, name: str = "stdout.gz") -> DataFr
     return logs.filter(F.col("path").contains(f"/{APPLICATION}"))
 
 
+def read_log_lines(
+    spark: SparkSession, path: str, name: str = "stdout.gz", folder: str = f"/{APPLICATION}"
+) -> DataFrame:
+    """(path, place, text) of every line of the logs of that name below ``path``.
+
+    ``place`` orders the lines of a log: its byte range, then the line in it. No log is a row as a
+    whole, so its size does not matter; a gzip file is still unpacked by one task.
+    """
+    lines = spark.read.text(path, lineSep="\n", recursiveFileLookup=True, pathGlobFilter=name)
+    return lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
+        F.col("value").alias("text"),
+    ).filter(F.col("path").contains(folder))
+
+
+def find_failures(lines: DataFrame) -> DataFrame:
+    """(path, depth, kind, place): per failed log, the line with the marker of its failure.
+
+    Each task reduces its lines to one place per log and marker before anything is shuffled.
+    """
+    marks = lines.select(
+        "path", "place",
+        F.when(F.col("text").contains(TRACEBACK), "traceback")
+        .when(F.col("text").contains(ANALYSIS), "analysis").alias("kind"),
+    ).filter("kind IS NOT NULL")
+    first = marks.groupBy("path").agg(
+        F.min(F.when(F.col("kind") == "traceback", F.col("place"))).alias("traced"),
+        F.min("place").alias("other"),
+    )
+    depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
+    return first.select(
+        "path", depth.alias("depth"),
+        F.when(F.col("traced").isNotNull(), "traceback").otherwise("analysis").alias("kind"),
+        F.coalesce("traced", "other").alias("place"),
+    )
+
+
+def failure_lines(lines: DataFrame) -> DataFrame:
+    """(path, kind, place, text): all lines of failed logs from the marker to the end."""
+    failures = find_failures(lines).select("path", "kind", F.col("place").alias("marker"))
+    return lines.join(failures, "path").filter("place >= marker").select("path", "kind", "place", "text")
+
+
 def scan_failures(
     logs: DataFrame, before: int = 0, after: int | None = None, tail: int | None = None
 ) -> DataFrame:

@@ -142,7 +142,18 @@ def test_audit_is_appended(spark, gold, tmp_path):
     path = str(tmp_path / "audit")
     checks.append_audit(report, path, "a")
     checks.append_audit(report, path, "b")
-    assert sorted(r.run_id for r in spark.read.parquet(path).collect()) == ["a", "b"]
+    assert sorted(r.run_id for r in checks.read_audit(spark, path).collect()) == ["a", "b"]
+
+
+def test_a_repeated_run_leaves_one_set_of_rows(spark, gold, tmp_path):
+    path = str(tmp_path / "audit")
+    report = checks.validation_report({"error": [checks.check_non_empty(gold)]})
+    for run in ("1", "2", "1", "a/b='c'", "a/b='c'"):
+        checks.append_audit(report, path, run)
+    found = checks.read_audit(spark, path)
+    assert sorted(r.run_id for r in found.collect()) == ["1", "2", "a/b='c'"]
+    assert found.columns == [*report.columns, "run_id"]
+    assert dict(found.dtypes)["run_id"] == "string"
 
 
 def test_every_mart_has_checkable_rules(shop):

@@ -1,6 +1,7 @@
 """Readers, writers and the catalog."""
 
 import gzip
+import os
 import random
 
 import pytest
@@ -133,6 +134,47 @@ def test_catalog(spark, lake):
     assert by_year.filter("y = 2017").first().v == 2
 
 
+@pytest.mark.parametrize("parts", [[], ["y"]], ids=["plain", "partitioned"])
+def test_a_failed_publish_leaves_the_old_version(spark, lake, parts):
+    columns = {"v": "int", "y": "int"}
+    target = f"gold.published_{len(parts)}"
+
+    def version(*values):
+        return spark.createDataFrame([(v, 2016 + v) for v in values], "v int, y int")
+
+    def shown():
+        return sorted(r.v for r in spark.table(target).collect())
+
+    first = gold.publish_gold(version(1, 2), lake, target, columns, parts)
+    assert shown() == [1, 2]
+    broken = spark.range(3000, numPartitions=8).selectExpr(
+        "cast(if(id < 2999, id, raise_error('midway')) AS int) v", "2016 y")
+    with pytest.raises(Exception, match="midway"):
+        gold.publish_gold(broken, lake, target, columns, parts)
+    assert shown() == [1, 2]
+    old = spark.table(target)
+    gold.publish_gold(version(3), lake, target, columns, parts)
+    assert shown() == [3]
+    assert sorted(r.v for r in spark.read.parquet(first).collect()) == [1, 2]
+    del old
+    gold.publish_gold(version(4, 5), lake, target, columns, parts)
+    assert shown() == [4, 5]
+    root = first.rsplit("/", 1)[0]
+    assert len([p for p in os.listdir(root) if p.startswith(gold.VERSION)]) == 2
+    spark.sql(f"DROP TABLE {target}")
+
+
+def test_an_interrupted_switch_is_taken_up(spark, lake):
+    columns = {"v": "int", "y": "int"}
+    df = spark.createDataFrame([(1, 2016)], "v int, y int")
+    gold.publish_gold(df, lake, "gold.cut", columns, ["y"])
+    spark.sql("ALTER TABLE gold.cut RENAME TO gold.cut__former")
+    gold.publish_gold(df.selectExpr("v + 1 AS v", "y"), lake, "gold.cut", columns, ["y"])
+    assert [r.v for r in spark.table("gold.cut").collect()] == [2]
+    assert not spark.catalog.tableExists("gold.cut__former")
+    assert not spark.catalog.tableExists("gold.cut__next")
+
+
 def test_catalog_leaves_managed_tables_alone(spark, lake):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     spark.range(3).write.mode("overwrite").saveAsTable("gold.kept")
@@ -172,6 +214,33 @@ def test_labels_and_numbers(spark):
     ]
 
 
+def test_log_lines(spark, conf, tmp_path):
+    """Lines from the marker on, of packed logs and of plain ones that many tasks read."""
+    conf(spark__sql__files__maxPartitionBytes="256", spark__sql__files__openCostInBytes="1")
+    head = [f"line {i} of the log" for i in range(200)]
+    bodies = {
+        "a/stdout.gz": [*head, "AnalysisException: early", *head, "x Traceback (most recent call last):", *head],
+        "b/c/stdout.gz": [*head, "an AnalysisException: é", "last"],
+        "d/stdout.gz": head,
+    }
+    for name, body in bodies.items():
+        target = tmp_path / "application_1" / name
+        target.parent.mkdir(parents=True, exist_ok=True)
+        text = "\n".join(body).encode()
+        target.write_bytes(gzip.compress(text))
+        target.with_name("plain").write_bytes(text)
+    want = {"a": bodies["a/stdout.gz"][401:], "b/c": bodies["b/c/stdout.gz"][200:]}
+    for name in ("stdout.gz", "plain"):
+        lines = logs.read_log_lines(spark, str(tmp_path), name)
+        found = {r.path.split("application_1/")[1]: r for r in logs.find_failures(lines).collect()}
+        assert {k: r.kind for k, r in found.items()} == {f"a/{name}": "traceback", f"b/c/{name}": "analysis"}
+        assert found[f"b/c/{name}"].depth == found[f"a/{name}"].depth + 1
+        texts = {}
+        for r in logs.failure_lines(lines).orderBy("path", "place").collect():
+            texts.setdefault(r.path.split("application_1/")[1].removesuffix(f"/{name}"), []).append(r.text)
+        assert texts == want
+
+
 def test_log_files(spark, tmp_path):
     def put(path, text):
         target = tmp_path / path
