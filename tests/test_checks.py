@@ -1,6 +1,7 @@
 """Each check must pass on good rows and be seen to fail on planted bad ones."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import starmill
 from starmill.operators import checks
@@ -87,6 +88,21 @@ def test_reconcile_matches_null_keys_without_comparing_all_pairs(spark, conf):
     assert one(result) == (True, 0)
 
 
+def test_only_differing_buckets_are_joined(spark):
+    left = spark.range(5000).selectExpr("id AS k", "IF(id % 7 = 0, NULL, id * 2) AS a", "id / 3 AS b")
+    right = left.selectExpr("cast(k AS int) AS k", "cast(a AS double) AS a", "b")
+    parts = checks.differing_buckets(left, right.orderBy(F.desc("k")), ["k"], ["a", "b"])
+    assert [p.count() for p in parts] == [0, 0]
+    off = right.filter("k <> 12").withColumn("b", F.when(F.col("k") != 99, F.col("b")).otherwise(1.0))
+    mine, theirs = checks.differing_buckets(left, off, ["k"], ["a", "b"])
+    assert {12, 99} <= {r.k for r in mine.collect()} and 2 <= mine.count() < 30
+    assert {r.k for r in theirs.collect()} == {r.k for r in mine.collect()} - {12}
+    assert one(checks.check_reconcile(left, off, ["k"], ["a", "b"])) == (False, 2)
+    swapped = spark.createDataFrame([(1, None, 2.0)], "k long, a double, b double")
+    other = spark.createDataFrame([(1, 2.0, None)], "k long, a double, b double")
+    assert one(checks.check_reconcile(swapped, other, ["k"], ["a", "b"])) == (False, 1)
+
+
 def test_spot_value(gold):
     at = {"order_year": 2017, "order_month": 2}
     doubled = gold.withColumn("total_revenue", gold.total_revenue * 2)
