@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from functools import partial
+from importlib.util import find_spec
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -22,11 +23,11 @@ from starmill.sources.bronze import CSV_OPTIONS, LakeConfig, conform, read_bronz
 
 from oracle_queries import ORACLE, ORACLE_DIGITS, ORACLE_NUDGE  # noqa: E402
 
-try:  # The training-data operators are optional: their folder may be absent.
+# The training-data operators are optional: their files may be absent. If they are there, they must work.
+corpus_pipeline = llm_queries = None
+if find_spec("starmill.llm") and find_spec("corpus_pipeline"):
     import corpus_pipeline  # noqa: E402
     from starmill.llm import queries as llm_queries  # noqa: E402
-except ImportError:
-    corpus_pipeline = llm_queries = None
 
 # The given tables hold the years 1995 to 2001.
 YEARS, MONTHS = [1996, 1997, 1998], [1, 2, 3]
