@@ -2,11 +2,12 @@
 
 1. Document frequencies of hashed n-grams (1 to 3 characters, letters lower-cased, all else one
    space) are counted over the whole texts of all documents that may be learned from.
-2. A sample of labelled documents, about ``per_language`` of each language by a hash of the id, gives
-   TF-IDF vectors. Follow-the-regularised-leader with elastic-net penalties fits the weights; the L1
-   part leaves most of them at zero. The sample's size is a parameter; vectors have ``BUCKETS``
-   entries at most, so the driver holds a bounded amount. Of more than ``MOST_LANGUAGES`` labels the
-   most frequent are learned.
+2. A sample of labelled documents by a hash of the id gives TF-IDF vectors: of each language all
+   documents, or about ``per_language``, or with many languages an equal share of ``rows``, but not
+   below ``least``. Every label is learned. Tasks make the vectors; should they take more than
+   ``size`` bytes, each language keeps those of the smallest hashes up to its share, so the driver holds
+   a bounded amount. Follow-the-regularised-leader with elastic-net penalties fits the weights; the L1
+   part leaves most of them at zero.
 3. One fold of the sample is left out of the fit and sets the softmax's temperature.
 4. Every document is scored by a narrow map; the weights (languages x buckets) travel with the job.
 
@@ -22,19 +23,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.llm.common import free_names, learning_fold, named, text_batches
+from starmill.session import stored
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
 ORDERS = (1, 2, 3)
 CHUNK = 1 << 20
-PER_LANGUAGE = 800
-SAMPLE_MOST = 20_000
-MOST_LANGUAGES = 200
+PER_LANGUAGE, SAMPLE_ROWS, LEAST, SAMPLE_BYTES = 800, 20_000, 50, 256 << 20
 CALIBRATION_FOLD = 1
 MIXER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -171,22 +171,22 @@ def _columns(row, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def train(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-    per_language: int = PER_LANGUAGE,
+    per_language: int = PER_LANGUAGE, rows: int = SAMPLE_ROWS, least: int = LEAST,
+    size: int = SAMPLE_BYTES,
 ) -> Model | None:
     """Fit on documents of the learning folds; None if none has a language and a letter."""
-    rows = documents.select(
+    known = documents.select(
         learning_fold(named(documents, doc_id)).alias("fold"),
         F.xxhash64(named(documents, doc_id), F.lit("sample")).alias("key"),
         named(documents, lang).cast("string").alias("lang"),
         named(documents, text).alias("text"),
     ).filter("fold <> 0 AND lang IS NOT NULL")
-    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang")
-    sizes = {r["lang"]: r["n"] for r in frequent.limit(MOST_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     found = {
         r["bucket"]: r["n"]
-        for r in rows.select("text").mapInArrow(_frequencies, "bucket long, n long")
+        for r in known.select("text").mapInArrow(_frequencies, "bucket long, n long")
         .groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     }
     seen = found.pop(-1, 0)
@@ -194,17 +194,30 @@ def train(
     frequency[list(found)] = list(found.values())
     idf = np.log((1 + seen) / (1 + frequency)) + 1.0
 
-    # A row is taken when the upper 31 bits of its key fall below its language's rate.
-    rate = F.create_map(*[
-        F.lit(x) for name, n in sorted(sizes.items())
-        for x in (name, int(min(1.0, per_language / n) * 2**31))
-    ])
-    chosen = rows.filter(F.shiftrightunsigned("key", 33) < rate[F.col("lang")]).limit(SAMPLE_MOST)
+    def below(rates: dict[str, float]) -> Column:
+        """Of each language the rows whose key's upper 31 bits fall below its rate."""
+        limits = F.create_map(*[
+            F.lit(x) for name, share in sorted(rates.items()) for x in (name, int(share * 2**31))
+        ])
+        return F.shiftrightunsigned("key", 33) < limits[F.col("lang")]
+
+    quota = min(per_language, max(least, rows // len(sizes)))
+    rates = {name: min(1.0, quota / n) for name, n in sizes.items()}
+    vectors = stored(
+        known.filter(below(rates)).mapInArrow(
+            _vectors(idf), "key long, fold long, lang string, buckets binary, weights binary"
+        ).filter("buckets IS NOT NULL"),
+        "language-vectors",
+    )
+    held = {
+        r["lang"]: r["held"]
+        for r in vectors.groupBy("lang").agg(F.sum(2 * F.octet_length("buckets")).alias("held")).collect()
+    }
+    shares = {
+        name: rates[name] * min(1.0, size / len(held) / n) for name, n in held.items()
+    }
     sample = sorted(
-        (r for r in chosen.mapInArrow(
-            _vectors(idf),
-            "key long, fold long, lang string, buckets binary, weights binary",
-        ).collect() if r["buckets"] is not None),
+        vectors.filter(below(shares)).collect() if held else [],
         key=lambda r: (r["key"], r["lang"], r["buckets"]),
     )
     languages = tuple(sorted({r["lang"] for r in sample}))

@@ -15,6 +15,21 @@ def test_held_out_documents_are_recognised(corpus):
     assert all(0.0 <= r.score <= 1.0 for r in rows)
 
 
+def test_every_label_is_learned(spark):
+    """40 languages of one letter pair each, in language order and with one frequent language."""
+    rows = []
+    for n in range(40):
+        pair = chr(97 + n % 20) + ("qz" if n < 20 else "xw")
+        rows += [(len(rows) + i, " ".join([pair * 3] * 20), f"l{n:02}") for i in range(600 if n == 3 else 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    model = L.train(df, rows=1000, least=20)
+    assert len(model.languages) == 40
+    found = {r.doc_id: r.lang_pred for r in L.predict(df, model).collect()}
+    assert all(found[d] == name for d, _, name in rows)
+    small = L.train(df, size=40 * 1500)
+    assert len(small.languages) == 40
+
+
 def test_predictions_read_only_the_text(corpus):
     model = L.train(corpus)
     other = corpus.selectExpr("doc_id + 1000 AS doc_id", "text")
