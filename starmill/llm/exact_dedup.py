@@ -9,8 +9,10 @@
    and a later run may go on from the same folder with more arrivals. Partial aggregation reduces a
    group of copies to one row per task before the shuffle.
 3. Byte check. Rows whose digest was hit before are grouped again by digest and whole text; a hash
-   map's key comparison reads all bytes. Where a digest turns out to hold different texts
-   (``collisions``), the groups by text replace the group by digest.
+   map's key comparison reads all bytes. Such rows are found by a bitmap over the digests, ``SPREAD``
+   bits for each hit up to ``SLOTS`` in all, so only their texts (and few others) are shuffled; a full
+   bitmap costs work, not results. Where a digest turns out to hold different texts, the groups by text
+   replace the group by digest.
 
 Defined results: null texts count as empty; all empty texts form one group. Null ids sort below all
 others. Of repeated rows (same id and text) exactly one is kept, that of the largest locator. Empty
@@ -22,6 +24,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.llm.common import free_names, named
 from starmill.session import scratch_dir, stored
@@ -32,6 +35,7 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+SPREAD, SLOTS = 16, 1 << 27
 ARRIVALS = "digest string, doc_id long, file string, row long"
 
 
@@ -89,8 +93,10 @@ def seen_state(spark: SparkSession, arrivals: str, folder: str) -> DataFrame:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     state = spark.read.format("statestore").load(folder)
-    # The state's value holds the aggregates in the order in which they were declared.
-    keep, size = [f"value.`{f.name}`" for f in state.schema["value"].dataType.fields][-2:]
+    # The state names its aggregates as it likes; one is a struct, the other a number.
+    value = {isinstance(f.dataType, T.StructType): f"value.`{f.name}`"
+             for f in state.schema["value"].dataType.fields if f.name != "digest"}
+    keep, size = value[True], value[False]
     return state.select(
         F.col("key.digest").alias("digest"),
         F.col(keep).alias("keep"),
@@ -98,6 +104,23 @@ def seen_state(spark: SparkSession, arrivals: str, folder: str) -> DataFrame:
     )
 
 
+def _of_hits(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """``digest, text`` of all rows whose digest is one of the hits, and of few others."""
+    slots = min(max(1 << (SPREAD * hits.count()).bit_length(), 1 << 15), SLOTS)
+    slot = F.pmod(F.xxhash64("digest"), F.lit(slots))
+    bits = hits.select(slot.alias("slot")).groupBy(F.expr("slot div 32768").alias("part")).agg(
+        F.bitmap_construct_agg(F.expr("slot % 32768")).alias("bits")
+    )
+    byte = F.conv(F.hex(F.expr("substring(bits, slot % 32768 div 8 + 1, 1)")), 16, 10).cast("int")
+    # At most SLOTS / 32768 rows of four kilobytes.
+    return (
+        rows.select("digest", "text", slot.alias("slot"))
+        .join(F.broadcast(bits), F.expr("slot div 32768") == F.col("part"))
+        .filter(byte.bitwiseAND(F.expr("shiftleft(1, cast(slot % 8 AS int))")) != 0)
+        .select("digest", "text")
+    )
+
+
 def decide(rows: DataFrame, file: str, row: str, doc_id: str, text: str) -> DataFrame:
     """``decisions`` for rows whose locator is in the columns ``file`` and ``row``."""
     spark = rows.sparkSession
@@ -114,7 +137,7 @@ def decide(rows: DataFrame, file: str, row: str, doc_id: str, text: str) -> Data
     state = stored(seen_state(spark, path, scratch_dir(spark, "dedup-state")), "dedup-seen")
 
     # Full bytes: a digest with two or more texts shows up as two or more groups here.
-    texts = rows.select("digest", "text").distinct()
+    texts = _of_hits(rows, state.filter("group_size > 1").select("digest")).distinct()
     collided = stored(
         texts.groupBy("digest").count().filter("count > 1").select("digest"), "dedup-collided"
     )

@@ -54,6 +54,19 @@ def test_a_digest_of_two_texts_is_told_apart_by_its_bytes(spark, monkeypatch):
     assert rows == {1: (3, 2, False), 3: (3, 2, True), 2: (5, 2, False), 5: (5, 2, True), 4: (4, 1, True)}
 
 
+def test_only_texts_of_repeated_digests_are_compared(spark):
+    rows = spark.range(5000).selectExpr(
+        "id AS doc_id", "IF(id % 100 = 0, 'copy', concat('text ', id)) AS text"
+    ).withColumn("digest", exact_dedup.digest_of(F.col("text")))
+    hits = rows.groupBy("digest").count().filter("count > 1").select("digest")
+    found = exact_dedup._of_hits(rows, hits)
+    assert found.filter("text = 'copy'").count() == 50
+    assert found.count() < 150
+    many = rows.filter("doc_id % 3 = 0").select("digest")
+    assert {r.digest for r in many.collect()} <= {r.digest for r in exact_dedup._of_hits(rows, many).collect()}
+    assert exact_dedup._of_hits(rows, hits.limit(0)).count() == 0
+
+
 def test_the_state_is_kept_on_disk(spark, odd, monkeypatch):
     seen = []
     original = exact_dedup.seen_state
