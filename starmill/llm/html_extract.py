@@ -1,18 +1,22 @@
 """Main text of web pages by consensus host paths.
 
 1. Every page is parsed once; each container (an element that holds blocks of text) is scored by the
-   text of its blocks less twice its link text, a part of which also counts for its parent. A page
-   votes for its containers' generalised paths (tag and class names without digits) in per mille of
-   its scores.
-2. Spark adds up the votes per host and path, and each host's strongest path wins.
-3. Pages are extracted again with their host's path; a page on which that path has no text falls
-   back to its own strongest container, and one without any container to its body.
+   text of all blocks below it, each less twice its link text. A page votes for its containers'
+   generalised paths (tag and class names without digits) in per mille of all its main text.
+2. Spark adds up the votes per host and path. Of the paths to an ``article`` or ``main`` with half of the
+   host's text or more, the one with most of it wins, the deepest of several; without such a path, the
+   deepest to another container, cells and quotes aside, with nearly all of it. Headings weigh ten times
+   their length, so a nested section never stands for an article whose title it lacks.
+3. Pages are extracted again with their host's path; a page of which that path has less than half
+   falls back to its own winner by the same rule.
 
 Votes are partial sums per task before the shuffle, so a host with a third of all pages is a few rows
 per task. Pages are joined with the winners, one narrow row per host.
 
 Inside the chosen containers navigation, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments are left out, by tag or by class and id names. Character references are
+styles and reader comments are left out, by tag or by class and id names. Ids of headings and paragraphs
+and ids that only begin like such a name are slugs of main text, as are classes of headings and
+paragraphs. Character references are
 decoded, white space inside a block becomes one space, blocks are joined by one space.
 
 Defined results: null and empty pages, and pages without main text, give an empty text. A null or
@@ -35,6 +39,7 @@ from starmill.llm.common import named, text_batches
 from starmill.session import stored
 
 FLUSH = 20_000
+ROOT = "html"
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,7 +50,7 @@ INLINE = frozenset(
 )
 CONTAINERS = frozenset("article main section div td body center blockquote".split())
 DROPPED = frozenset(
-    "nav header footer aside form button select option dialog menu figure head audio video canvas"
+    "nav header footer aside form button select option dialog menu head audio video canvas"
     " object".split()
 )
 # Class and id names of what is not main text.
@@ -55,7 +60,11 @@ DROPPED_NAMES = (
     "modal|newsletter|subscribe|signup|share|sharing|social|related|recommended|comment|comments|"
     "disqus|replies|widget|pagination|pager|login|search|toolbar|skip"
 )
-NEVER_DROPPED = frozenset("html body main article".split())
+NEVER_DROPPED = frozenset("html body main article h1 h2 h3 h4 h5 h6 p".split())
+PREFERRED = ("article", "main")
+PASSED_OVER = ("td", "blockquote")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HALF, NEARLY_ALL, HEADING_WEIGHT = 0.5, 0.99, 10
 # Elements that end when one of the same group begins.
 CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"},
@@ -73,26 +82,28 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"""\b(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+DROPPED_ID = re.compile(DROPPED_NAMES, re.IGNORECASE)
 DROPPED_NAME = re.compile(rf"(?:{DROPPED_NAMES})(?:[-_].*)?", re.IGNORECASE)
 
 
 class _Element:
-    __slots__ = ("tag", "path", "parent", "dropped", "link", "chosen", "score")
+    __slots__ = ("tag", "path", "parent", "dropped", "link", "chosen", "depth")
 
     def __init__(self, tag: str, attributes: str, parent: _Element | None, want: str | None) -> None:
-        names = []
+        classes, ids = [], []
         if attributes:
             found = ATTRIBUTE.findall(attributes)
-            names = [x for k, *v in found for x in "".join(v).split()]
+            ids = [x for k, *v in found if k.lower() == "id" for x in "".join(v).split()]
             classes = [x for k, *v in found if k.lower() == "class" for x in "".join(v).split()]
             general = sorted({c for x in classes if (c := re.sub(r"\d+", "", x.lower()).strip("-_"))})
             step = ".".join([tag, *general])
         else:
             step = tag
-        self.tag, self.parent, self.score = tag, parent, 0
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.path = f"{parent.path}>{step}" if parent else step
         self.dropped = bool(parent and parent.dropped) or tag in DROPPED or (
-            tag not in NEVER_DROPPED and any(DROPPED_NAME.fullmatch(x) for x in names)
+            tag not in NEVER_DROPPED
+            and (any(map(DROPPED_NAME.fullmatch, classes)) or any(map(DROPPED_ID.fullmatch, ids)))
         )
         self.link = tag == "a" or bool(parent and parent.link)
         self.chosen = bool(parent and parent.chosen) or (want is not None and self.path == want)
@@ -103,7 +114,7 @@ def walk(page: str, want: str | None = None) -> Iterator[tuple[_Element, str, in
 
     Elements under the path ``want`` are marked as chosen.
     """
-    root = _Element("html", "", None, want)
+    root = _Element(ROOT, "", None, want)
     here, parts, linked, at = root, [], 0, 0
 
     def block() -> Iterator[tuple[_Element, str, int]]:
@@ -170,34 +181,52 @@ def _holder(element: _Element) -> _Element | None:
 
 
 def container_scores(page: str) -> dict[str, int]:
-    """The page's containers by path: text less twice the link text, a third for the parent."""
-    scores: dict[str, int] = defaultdict(int)
+    """The page's containers by path: the main text below each; all of it under the root's path."""
+    worth: dict[int, dict[_Element, int]] = defaultdict(lambda: defaultdict(int))
     for element, text, linked in walk(page):
-        holder = _holder(element)
-        worth = len(text) - 2 * linked
-        if holder is None or holder.dropped:
-            continue
-        scores[holder.path] += 3 * worth
-        above = _holder(holder.parent) if holder.parent else None
-        if above is not None:
-            scores[above.path] += worth
-    return {path: score for path, score in scores.items() if score > 0}
+        value = (len(text) - 2 * linked) * (HEADING_WEIGHT if element.tag in HEADINGS else 1)
+        if value > 0 and not element.dropped:
+            holder = _holder(element) or element
+            worth[holder.depth][holder] += value
+    scores: dict[str, int] = defaultdict(int)
+    for depth in range(max(worth, default=-1), -1, -1):
+        for element, value in worth[depth].items():
+            if element.tag in CONTAINERS or element.parent is None:
+                scores[element.path] += value
+            if element.parent is not None:
+                worth[depth - 1][element.parent] += value
+    return dict(scores)
+
+
+def _tag(path: str) -> str:
+    """The tag name of a path's last step."""
+    return path.rsplit(">", 1)[-1].split(".")[0]
+
+
+def _best(scores: dict[str, int]) -> str:
+    """The winning path of one page, by the rule for hosts."""
+    total = scores.get(ROOT, 0)
+
+    def rank(path: str) -> tuple:
+        depth, score = path.count(">"), scores[path]
+        named = _tag(path) in PREFERRED and score >= HALF * total
+        return (1, score, depth, path) if named else (0, depth, score, path)
+
+    fit = [k for k, score in scores.items() if rank(k)[0]
+           or score >= NEARLY_ALL * total and _tag(k) not in PASSED_OVER]
+    return max(fit, key=rank, default=ROOT)
 
 
 def main_text(page: str, want: str | None) -> str:
-    """Text of the containers under the path ``want``, else of the page's strongest one."""
+    """Text of the containers under the path ``want``, else of those that the page itself prefers."""
     if not page:
         return ""
-    for path in (want, None):
-        if path is None:
-            scores = container_scores(page)
-            path = max(scores, key=lambda k: (scores[k], k)) if scores else "html"
-        found = " ".join(
-            text for element, text, _ in walk(page, path) if element.chosen and not element.dropped
-        )
-        if found:
-            return found
-    return ""
+    scores = container_scores(page)
+    if want is None or scores.get(want, 0) < HALF * scores.get(ROOT, 0) or not scores:
+        want = _best(scores)
+    return " ".join(
+        text for element, text, _ in walk(page, want) if element.chosen and not element.dropped
+    )
 
 
 def _votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,9 +244,8 @@ def _votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, pages in text_batches(batches, "html"):
         for host, page in zip(batch.column("host").to_pylist(), pages):
             scores = container_scores(page)
-            total = sum(scores.values())
             for path, score in scores.items():
-                sums[host, path] += 1000 * score // total
+                sums[host, path] += 1000 * score // scores[ROOT]
             if len(sums) > FLUSH:
                 yield flush()
     yield flush()
@@ -247,9 +275,24 @@ def extract(pages: DataFrame) -> DataFrame:
         named(pages, "html").alias("html"),
     )
     votes = rows.select("host", "html").mapInArrow(_votes, "host string, path string, votes long")
+    summed = stored(
+        votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")), "host-votes"
+    )
+    totals = summed.filter(F.col("path") == ROOT).select("host", F.col("votes").alias("total"))
+    share, depth = F.col("votes") / F.col("total"), F.regexp_count("path", F.lit(">"))
+    tag = F.regexp_extract("path", "([^>.]*)[^>]*$", 1)
+    preferred = (tag.isin(*PREFERRED) & (share >= HALF)).cast("int")
+    first, second = F.col("votes"), depth
+    rank = F.struct(
+        preferred.alias("preferred"),
+        F.when(preferred == 1, first).otherwise(second).alias("first"),
+        F.when(preferred == 1, second).otherwise(first).alias("second"),
+        "path",
+    )
     winners = stored(
-        votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-        .groupBy("host").agg(F.max(F.struct("votes", "path")).alias("best"))
+        summed.join(totals, "host")
+        .filter((preferred == 1) | (share >= NEARLY_ALL) & ~tag.isin(*PASSED_OVER))
+        .groupBy("host").agg(F.max(rank).alias("best"))
         .select("host", F.col("best.path").alias("path")),
         "host-paths",
     )

