@@ -39,6 +39,19 @@ def learning_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS, F.lit(0))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python few at a time from now on, where the session sends more.
+
+    Buffers of whole batches, in the executor and in each of its Python workers, are what an executor
+    with many stages behind it has least room for.
+    """
+    for key, most in (("maxRecordsPerBatch", 512), ("maxBytesPerBatch", 4 << 20)):
+        name = f"spark.sql.execution.arrow.{key}"
+        given = (spark.conf.get(name, None) or "").removesuffix("b")
+        if not given.lstrip("-").isdigit() or not 0 < int(given) <= most:
+            spark.conf.set(name, str(most))
+
+
 def text_batches(
     batches: Iterable, column: str = "text", rows: int = 512
 ) -> Iterable[tuple[object, list[str]]]:

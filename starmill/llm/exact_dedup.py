@@ -29,11 +29,14 @@ from pyspark.sql import types as T
 from starmill.llm.common import free_names, named
 from starmill.session import scratch_dir, stored
 
-# State on disk; without fallocate, since each of many small stores would reserve megabytes.
+# State on disk; without fallocate, since each of many small stores would reserve megabytes, and with
+# one bound on the native memory of all stores of an executor.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
 }
 SPREAD, SLOTS = 16, 1 << 27
 ARRIVALS = "digest string, doc_id long, file string, row long"
