@@ -21,7 +21,7 @@ decoded, white space inside a block becomes one space, blocks are joined by one
 
 Defined results: null and empty pages, and pages without main text, give an empty text. A null or
 malformed address belongs to the host ''. Ties go to the path that sorts last. Repeated rows vote
-repeatedly and give repeated results. Empty tables give empty results. Extra columns are ignored.
+repeatedly and give repeated results. Very long pages are parsed once from start to end, like others. Empty tables give empty results. Extra columns are ignored.
 """
 
 from __future__ import annotations

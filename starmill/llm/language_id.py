@@ -13,7 +13,7 @@
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is everything when
 no row can be learned from. Null ids are held out. Rows whose language is null are only predicted.
-Ties go to the language that sorts first. Empty tables give empty results. Extra columns are ignored.
+Very long texts are counted ``CHUNK`` characters at a time. Ties go to the language that sorts first. Empty tables give empty results. Extra columns are ignored.
 """
 
 from __future__ import annotations
