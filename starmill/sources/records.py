@@ -1,8 +1,9 @@
 """CSV files whose quoted fields hold line breaks, read by many tasks.
 
 Spark's ``multiLine`` reads such a file in one task, since only its start tells which line breaks are
-quoted. Here byte ranges are read as lines by any number of tasks. A line break is quoted if an odd
-number of quotes comes before it; every range counts its own, and a scan over the ranges (one row each)
+quoted. Here byte ranges are read as lines by any number of tasks, and cut into pieces of at most ``PIECE``
+lines, so what a task sorts does not grow with the files. A line break is quoted if an odd
+number of quotes comes before it; every piece counts its own, and a scan over the pieces (one row each)
 tells how many come before it. From there on all record boundaries are known. Most records are one
 line; only the lines of others are brought together.
 """
@@ -14,7 +15,10 @@ from pyspark.sql import functions as F
 
 from starmill.session import stored
 
-RANGE = ("file", "block")
+PIECE = 1 << 12  # no more than a window keeps without a sorter of its own
+RANGE = ("file", "block", "piece")
+# At least so many shuffled parts for each part that is read (by default of 128 MB).
+SPLITS = 4
 # Options that belong to the reading of files, not of single records.
 FILE_OPTIONS = ("header", "multiLine", "inferSchema", "lineSep")
 
@@ -24,22 +28,24 @@ def _even(column: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
-    """Every line with its quotes, those before it in its range, and where a record last began.
+    """Every line with its quotes, those before it in its piece, and where a record last began.
 
-    ``even`` is that place if the range itself starts outside of quotes, ``odd`` if it starts inside.
+    ``even`` is that place if the piece itself starts outside of quotes, ``odd`` if it starts inside.
     """
-    read = spark.read.option("lineSep", "\n").text(path).select(
+    text = spark.read.option("lineSep", "\n").text(path)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SPLITS * text.rdd.getNumPartitions())
+    read = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         "value",
-    )
+    ).withColumn("piece", F.expr(f"line div {PIECE}")).repartition(parts, *RANGE)
     value = F.col("value")
     quotes = F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))
     so_far = Window.partitionBy(*RANGE).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     counted = read.withColumn("quotes", quotes.cast("long")).withColumns({
         "before": F.sum("quotes").over(so_far) - F.col("quotes"),
-        # The first line that is not blank starts with one.
+        # The first line of a file that is not blank starts with one.
         "filled": F.count_if(~value.isin("", "\r")).over(so_far),
     })
     return stored(
@@ -52,22 +58,26 @@ def _lines(spark: SparkSession, path: str, quote: str) -> DataFrame:
 
 
 def _ranges(lines: DataFrame) -> DataFrame:
-    """Per byte range the quotes before it and the place where the last record before it began.
+    """Per piece the quotes and filled lines before it, and the place where the last record before it began.
 
     ``crlf`` is true in files whose first line ends with a carriage return.
     """
-    header = (F.col("block") == 0) & (F.col("filled") == 1) & ~F.col("value").isin("", "\r")
+    filled = ~F.col("value").isin("", "\r")
     ranges = lines.groupBy(*RANGE).agg(
         F.sum("quotes").alias("held"), F.max("even").alias("even"), F.max("odd").alias("odd"),
-        F.max(header & F.col("value").endswith("\r")).alias("crlf"),
+        F.max("filled").alias("full"),
+        F.max((F.col("filled") == 1) & filled & F.col("value").endswith("\r")).alias("crlf"),
     )
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    known = ranges.withColumn("outside", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+    earlier = Window.partitionBy("file").orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    known = ranges.withColumns({
+        "outside": F.coalesce(F.sum("held").over(earlier), F.lit(0)),
+        "begun": F.coalesce(F.sum("full").over(earlier), F.lit(0)),
+    })
     began = F.when(_even(F.col("outside")), F.col("even")).otherwise(F.col("odd"))
     last = F.when(began.isNotNull(), F.struct("block", began.alias("line")))
     return known.select(
-        *RANGE, "held", "outside", F.last(last, True).over(earlier).alias("open"),
-        F.max("crlf").over(Window.partitionBy("file")).alias("crlf"),
+        *RANGE, "held", "outside", "begun", F.last(last, True).over(earlier).alias("open"),
+        F.max(F.col("crlf") & (F.col("begun") == 0)).over(Window.partitionBy("file")).alias("crlf"),
     )
 
 
@@ -89,7 +99,7 @@ def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame
         "ends": _even(before + F.col("quotes")),
         "own": F.when(_even(F.col("outside")), F.col("even")).otherwise(F.col("odd")),
     })
-    first = (F.col("block") == 0) & (F.col("filled") == 1) & F.col("starts")
+    first = (F.col("begun") == 0) & (F.col("filled") == 1) & F.col("starts")
     broken = F.regexp_replace(F.regexp_replace("value", "\r\n", "\n"), "\r$", "")
     record = F.when(F.col("crlf"), broken).otherwise(F.col("value")).alias("record")
     short = placed.filter("starts AND ends").select("file", first.alias("first"), record)

@@ -365,6 +365,23 @@ def test_quoted_breaks_across_many_ranges(spark, conf, tmp_path, end):
     assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 30
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_pieces_of_a_range_are_sorted_apart(spark, monkeypatch, tmp_path, end):
+    """Pieces of a few lines give what one task reads, also where the first ones are blank."""
+    monkeypatch.setattr(records, "PIECE", 4)
+    rng = random.Random(12)
+    for number in range(2):
+        _odd_csv(tmp_path / f"part{number}.csv", rng, 200, end)
+    late = tmp_path / "late.csv"
+    late.write_bytes(end.encode() * 11 + (tmp_path / "part0.csv").read_bytes())
+    options = {"quote": '"', "escape": '"'}
+    whole = spark.read.options(header="true", multiLine="true", **options).csv(str(tmp_path))
+    found = records.read_csv(spark, str(tmp_path), **options)
+    assert sorted(found.collect(), key=str) == sorted(whole.collect(), key=str)
+    lines = records._lines(spark, str(tmp_path), '"')
+    assert lines.groupBy(*records.RANGE).count().agg({"count": "max"}).first()[0] <= 4
+
+
 def test_unpaired_quotes_are_read_whole(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,text\n1,5" tall\n2,b\n')
     options = {"quote": '"', "escape": '"'}
