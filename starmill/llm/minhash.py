@@ -152,37 +152,80 @@ def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _crowded_pairs(many: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs across components that share a rare shingle, of the stored rooted members ``many``."""
-    members = stored(many.select("fingerprint", "n", "root").distinct(), "minhash-members")
-    if members.isEmpty():
-        return members.selectExpr("fingerprint a", "n an", "fingerprint b", "n bn")
-    sets = _sets_of(members.select("fingerprint"), nodes, texts)
-    held = sets.select("fingerprint", F.explode("shingles").alias("shingle"))
-    often = held.groupBy("shingle").agg(F.count("*").alias("often"))
-    ranked = held.join(often, "shingle").filter("often > 1").withColumn(
+    """Pairs across components of the stored rooted members ``many`` that may be similar.
+
+    Members whose buckets hang together are a crowd, and each is held by what sets it apart: the shingles
+    in which it differs from those that most of its crowd hold. Two sets differ by as much as their differences
+    do, so similar ones either share one of these, or are so close to what is held by most that the closest
+    member is similar to both.
+    """
+    if many.isEmpty():
+        return many.selectExpr("fingerprint a", "n an", "fingerprint b", "n bn")
+    place = ["band", "key"]
+    least = many.groupBy(*place).agg(F.min("fingerprint").alias("a"))
+    crowds = components(
+        many.join(least, place).select("a", F.col("fingerprint").alias("b")).distinct()
+    ).select(F.col("node").alias("fingerprint"), F.col("root").alias("crowd"))
+    members = stored(
+        many.select("fingerprint", "n", "root").distinct().join(crowds, "fingerprint"), "minhash-members"
+    )
+    held = _sets_of(members.select("fingerprint"), nodes, texts).join(members, "fingerprint")
+    shared = (
+        held.select("crowd", F.explode("shingles").alias("shingle"))
+        .groupBy("crowd", "shingle").agg(F.count("*").alias("often"))
+        .join(members.groupBy("crowd").agg(F.count("*").alias("members")), "crowd")
+        .filter("2 * often > members")
+        .groupBy("crowd").agg(F.collect_list("shingle").alias("most"))
+    )
+    most = F.coalesce("most", F.array().cast("array<long>"))
+    apart = stored(
+        held.join(stored(shared, "minhash-most"), "crowd", "left").select(
+            "crowd", "fingerprint", "n", "root",
+            F.concat(F.array_except("shingles", most), F.array_except(most, "shingles")).alias("apart"),
+        ).withColumn("far", 9 * F.size("apart") - F.col("n")),
+        "minhash-apart",
+    )
+    # At 0.8 two sets differ by at most a ninth of both sizes together. If their differences add up to
+    # no more, they are similar, and so is each of them to the closest member.
+    closest = apart.groupBy("crowd").agg(F.min(F.struct("far", "fingerprint", "n", "root")).alias("by"))
+    close = apart.join(closest, "crowd").filter("far + by.far <= 0 AND root <> by.root").select(
+        F.col("by.fingerprint").alias("a"), F.col("by.n").alias("an"),
+        F.col("fingerprint").alias("b"), F.col("n").alias("bn"),
+    )
+    each = apart.select("crowd", "fingerprint", F.explode("apart").alias("shingle"))
+    often = each.groupBy("crowd", "shingle").agg(F.count("*").alias("often"))
+    counted = each.join(often, ["crowd", "shingle"])
+    ranked = counted.filter("often > 1").withColumn(
         "place", F.row_number().over(Window.partitionBy("fingerprint").orderBy("often", "shingle"))
     )
-    # Shingles of one set only come first in its order, and are in no other set.
-    lone = held.join(often, "shingle").groupBy("fingerprint").agg(F.count_if(F.col("often") == 1).alias("lone"))
-    # What comes before the first common shingle is in neither's intersection. At 0.8 that is at most
-    # a ninth of both sizes together, so one of the two has no more than a ninth of its own before it.
+    # Shingles that set one member apart only come first in its order, and are in no other's.
+    lone = counted.groupBy("fingerprint").agg(F.count_if(F.col("often") == 1).alias("lone"))
+    # What comes before the first common one sets the two apart from each other, and so does what one has
+    # more than the other after it. One of the two has no more than a ninth of its own size before it.
     earlier = F.col("place") + F.col("lone") - 1
     rare = stored(
-        ranked.join(members, "fingerprint").join(lone, "fingerprint")
-        .filter(earlier <= F.col("n") - F.ceil(0.8 * F.col("n")))
-        .select("shingle", "root", "fingerprint", "n", (F.col("n") - 9 * earlier).alias("room")),
+        ranked.join(lone, "fingerprint")
+        .join(apart.withColumn("all", F.size("apart")).drop("crowd", "apart"), "fingerprint")
+        .filter(4 * earlier <= F.col("n"))
+        .select(
+            "crowd", "shingle", "root", "fingerprint", "n",
+            (F.col("n") - 9 * earlier).alias("room"), (F.col("all") - earlier).alias("rest"),
+        ),
         "minhash-rare",
     )
+    at = ["crowd", "shingle"]
     near = rare.filter("room >= 0")
-    most = F.max("room").alias("room")
-    across = near.groupBy("shingle", "root").agg(most).join(
-        rare.groupBy("shingle", F.col("root").alias("other")).agg(most.alias("other_room")), "shingle"
-    ).filter("root <> other AND room + other_room >= 0").select("shingle", "root", "other")
-    one = near.withColumnsRenamed({"fingerprint": "a", "n": "an", "room": "a_room"})
-    two = rare.withColumnsRenamed({"root": "other", "fingerprint": "b", "n": "bn", "room": "b_room"})
-    return (
-        across.join(one, ["shingle", "root"]).join(two, ["shingle", "other"])
-        .filter("a_room + b_room >= 0 AND 5 * least(an, bn) >= 4 * greatest(an, bn)")
+    roomiest = F.max("room").alias("room")
+    across = near.groupBy(*at, "root").agg(roomiest).join(
+        rare.groupBy(*at, F.col("root").alias("other")).agg(roomiest.alias("other_room")), at
+    ).filter("root <> other AND room + other_room >= 0").select(*at, "root", "other")
+    one = near.withColumnsRenamed({"fingerprint": "a", "n": "an", "room": "a_room", "rest": "a_rest"})
+    two = rare.withColumnsRenamed(
+        {"root": "other", "fingerprint": "b", "n": "bn", "room": "b_room", "rest": "b_rest"}
+    )
+    return close.union(
+        across.join(one, [*at, "root"]).join(two, [*at, "other"])
+        .filter("a_room + b_room >= 9 * abs(a_rest - b_rest) AND 5 * least(an, bn) >= 4 * greatest(an, bn)")
         .select("a", "an", "b", "bn")
     )
 

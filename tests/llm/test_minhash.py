@@ -105,3 +105,31 @@ def test_odd_rows(odd, clashing, none):
     assert minhash.keep_one(none).count() == 0
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
         str(r.doc_id) for r in minhash.keep_one(odd).collect())
+
+
+def test_variants_of_one_text_are_not_compared_with_each_other(spark, monkeypatch):
+    """400 variants of a text that is not there itself; most pairs differ by a little too much."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        copy = base.copy() if i % 4 else texts[-1].split() if texts else base.copy()
+        for at in rng.sample(range(150), rng.choice([4, 5, 6]) if i % 4 else 1):
+            copy[at] = f"v{i}x{at}"
+        texts.append(" ".join(copy))
+    rows = [(i, text, "aa", "s", None) for i, text in enumerate(texts)]
+    made, crowded = [], minhash._crowded_pairs
+
+    def counting(many, *rest):
+        result = crowded(many, *rest)
+        made.append((many.select("fingerprint").distinct().count(), result.distinct().count()))
+        return result
+
+    monkeypatch.setattr(minhash, "_crowded_pairs", counting)
+    want = smallest_of_groups(rows)
+    assert 250 < len(want) < 350
+    kept = minhash.keep_one(spark.createDataFrame(rows, SCHEMA))
+    assert {r.doc_id for r in kept.collect()} == want
+    (members, pairs), = made
+    assert members > 300
+    assert pairs < 10 * len(rows)
