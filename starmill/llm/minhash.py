@@ -1,8 +1,11 @@
-"""Near-dedup by the similarity of five-word shingles: MinHash candidates, exact Jaccard links.
+"""Near-dedup by the similarity of five-word shingles: SimHash and MinHash candidates, exact Jaccard links.
 
 1. A text's set of distinct five-word shingles (hashed to 64 bits; fewer words are one shingle) has
    ``BANDS`` band values of ``ROWS`` minima each. Two sets of similarity s share a band with chance
    1 - (1 - s^5)^24: 0.99993 at 0.8, more above. Texts of one set are one node.
+   It also has a SimHash: each of 64 bits is 1 where it is set in over half of the shingles. Nodes within
+   two bits are found by ``simhash``'s multi-index hashing and linked first, those of one SimHash to
+   the smallest of them. Sets of 0.8 mostly differ by more bits, so the bands decide what is found in the end.
 2. Nodes that share a band value meet in a bucket. Every bucket links its members to its smallest
    one, in linear work; after the first bands only one member of each component so far is linked. Pairs stay links only if the Jaccard index of their whole sets is 0.8 or more.
    Sets are made again from the texts of those that are asked for, found by a bitmap over their
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from starmill.llm.common import free_names, named, text_batches
 from starmill.llm.exact_dedup import located
 from starmill.llm.graph import components
-from starmill.llm.simhash import SEED, keep_least
+from starmill.llm.simhash import BITS, SEED, keep_least, set_bits
+from starmill.llm.simhash import links as simhash_links
 from starmill.session import stored
 
 SHINGLE = 5
@@ -50,7 +54,7 @@ _WORD_FACTORS = _RANDOM.integers(1 << 62, size=SHINGLE, dtype=np.uint64) * np.ui
 _FACTORS = _RANDOM.integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND_FACTORS = _RANDOM.integers(1 << 62, size=(BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-_PRINTS = "doc_id long, file string, row long, fingerprint long, n int, bands array<long>"
+_PRINTS = "doc_id long, file string, row long, fingerprint long, simhash long, n int, bands array<long>"
 _SETS = "file string, row long, shingles array<long>"
 _KIND = pa.list_(pa.int64())
 
@@ -85,6 +89,14 @@ def bands(found: np.ndarray) -> np.ndarray:
     return _mixed(mixed.sum(axis=1, dtype=np.uint64))
 
 
+def simhash(found: np.ndarray) -> int:
+    """The set's SimHash; zero for the empty set."""
+    votes = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(found), CHUNK):
+        votes += set_bits(found[at:at + CHUNK])
+    return int(np.packbits(votes * 2 > len(found), bitorder="little").view("<i8")[0])
+
+
 def _print_batches(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
     for batch, texts in text_batches(batches):
         sets = [shingles(t) for t in texts]
@@ -92,9 +104,10 @@ def _print_batches(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([
             *[batch.column(c) for c in ("doc_id", "file", "row")],
             pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
+            pa.array([simhash(s) for s in sets], pa.int64()),
             pa.array([len(s) for s in sets], pa.int32()),
             pa.array([bands(s).view(np.int64) for s in sets], _KIND),
-        ], ["doc_id", "file", "row", "fingerprint", "n", "bands"])
+        ], ["doc_id", "file", "row", "fingerprint", "simhash", "n", "bands"])
 
 
 def _set_batches(shared: Broadcast):
@@ -230,26 +243,44 @@ def _crowded_pairs(many: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataF
     )
 
 
+def _simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs within two bits: the smallest nodes of linked SimHashes, and each node with its smallest."""
+    centres = stored(
+        nodes.groupBy("simhash").agg(F.min(F.struct("fingerprint", "n")).alias("centre")),
+        "minhash-simhash",
+    )
+    linked = simhash_links(centres.select(F.col("simhash").alias("fingerprint"))).distinct()
+    side = {
+        name: centres.select(
+            F.col("simhash").alias(name), F.col("centre.fingerprint").alias(f"{name}_node"),
+            F.col("centre.n").alias(f"{name}n"),
+        )
+        for name in ("a", "b")
+    }
+    across = linked.join(side["a"], "a").join(side["b"], "b").select("a_node", "an", "b_node", "bn")
+    return nodes.join(centres, "simhash").select(
+        F.col("centre.fingerprint").alias("a"), F.col("centre.n").alias("an"),
+        F.col("fingerprint").alias("b"), F.col("n").alias("bn"),
+    ).union(across)
+
+
 def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of fingerprints of the stored prints that connect all similar ones.
 
     ``texts`` has ``text`` of the prints' rows by ``file`` and ``row``.
     """
-    # Rows of one fingerprint have the same bands and size.
+    # Rows of one fingerprint have the same bands, SimHash and size.
     nodes = stored(prints.groupBy("fingerprint").agg(
         F.min(F.struct("file", "row")).alias("at"), F.first("bands").alias("bands"),
-        F.first("n").alias("n"),
+        F.first("n").alias("n"), F.first("simhash").alias("simhash"),
     ), "minhash-nodes")
     placed = nodes.select(F.posexplode("bands").alias("band", "key"), "fingerprint", "n")
     place = ["band", "key"]
     several = placed.groupBy(*place).agg(F.count("*").alias("members")).filter("members > 1")
     shared = stored(placed.join(several.drop("members"), place), "minhash-shared")
-    tried, near = nodes.selectExpr("fingerprint a", "fingerprint b").filter("false"), None
 
     def rooted(members: DataFrame) -> DataFrame:
         """The members with the root of their component so far."""
-        if near is None:
-            return members.withColumn("root", F.col("fingerprint"))
         roots = components(near).withColumnRenamed("node", "fingerprint")
         return members.join(roots, "fingerprint", "left").withColumn(
             "root", F.coalesce("root", "fingerprint")
@@ -261,6 +292,10 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
         ).distinct().join(tried, ["a", "b"], "left_anti")
 
+    tried = nodes.selectExpr("fingerprint a", "fingerprint b").filter("false")
+    pairs = stored(asked(_simhash_pairs(nodes)), "minhash-simhash-pairs")
+    near, tried = _similar(pairs, nodes, texts), pairs
+
     for first, end in STARS:
         # One member of each component stands for it, so a large group costs a few bands only.
         standing = stored(
@@ -278,7 +313,7 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
         pairs = stored(asked(starred), "minhash-starred")
         found = _similar(pairs, nodes, texts)
         tried = tried.union(pairs)
-        near = found if near is None else near.union(found)
+        near = near.union(found)
 
     rooted_members = stored(rooted(shared), "minhash-rooted")
     unsettled = stored(

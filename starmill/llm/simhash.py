@@ -44,6 +44,12 @@ CHUNK = 1 << 16
 _FINGERPRINTS = "doc_id long, file string, row long, fingerprint long"
 
 
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit set."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
 def fingerprint(text: str) -> int:
     """Each bit is 1 where it is set in over half of the shingles' hashes."""
     words = text.encode().lower().split()  # bytes: only A-Z change, only ASCII space splits
@@ -60,8 +66,7 @@ def fingerprint(text: str) -> int:
             xxhash.xxh64_intdigest(joined[a:b], SEED)
             for a, b in zip(starts[at:at + CHUNK], ends[at:at + CHUNK])
         ], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
+        votes += set_bits(hashes)
     return int(np.packbits(votes * 2 > total, bitorder="little").view("<i8")[0])
 
 

@@ -133,3 +133,30 @@ def test_variants_of_one_text_are_not_compared_with_each_other(spark, monkeypatc
     (members, pairs), = made
     assert members > 300
     assert pairs < 10 * len(rows)
+
+
+def test_simhash_links_what_no_band_holds(spark):
+    """No two sets share a band here, so the links are those of the multi-index hashing."""
+    rng, texts = random.Random(6), []
+    for group in range(4):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(2000)]
+        for changes in (0, 1, 1, 1, 900):
+            copy = base.copy()
+            for at in rng.sample(range(2000), changes):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    sets = [minhash.shingles(t) for t in texts]
+    bits = [minhash.simhash(s) for s in sets]
+    prints = spark.createDataFrame([
+        (i, "f", i, i, bits[i], len(sets[i]), [i * minhash.BANDS + j for j in range(minhash.BANDS)])
+        for i in range(len(texts))
+    ], minhash._PRINTS)
+    rows = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "file string, row long, text string")
+    near = {
+        (a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))
+        if ((bits[a] ^ bits[b]) & (1 << 64) - 1).bit_count() <= 2
+        and jaccard(grams(texts[a]), grams(texts[b])) >= 0.8
+    }
+    assert len(near) > 6
+    found = {(r.a, r.b) for r in minhash.links(prints, rows).collect()}
+    assert found <= near and {b for _, b in found} == {b for _, b in near}
