@@ -52,6 +52,18 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def short_plans(spark: SparkSession, most: int = 8 << 10) -> None:
+    """Keep the first ``most`` characters of each plan's text from now on, where the session keeps more.
+
+    Spark holds the texts of the last thousand queries in the driver, and writes one anew whenever a stage
+    of a query ends. Plans, their metrics and results are the same.
+    """
+    name = "spark.sql.maxPlanStringLength"
+    given = (spark.conf.get(name, None) or "").removesuffix("b")
+    if not given.isdigit() or int(given) > most:
+        spark.conf.set(name, str(most))
+
+
 def text_batches(
     batches: Iterable, column: str = "text", rows: int = 512
 ) -> Iterable[tuple[object, list[str]]]:

@@ -1,7 +1,7 @@
 """Connected components of a stored edge table, by repeated contraction.
 
 Each round every node points to its smallest neighbour (or itself), the pointers are followed to
-their roots by doubling, and the edges are rewritten to roots. Every node of an edge loses at least
+their roots by jumping, and the edges are rewritten to roots. Every node of an edge loses at least
 one partner per round, so the number of rounds grows with the logarithm of the nodes. All steps are
 shuffled joins and partial aggregations over tables in the shared folder; only emptiness is asked by
 the driver. A root with very many members is a skewed join key, which AQE splits, since nothing
@@ -17,12 +17,13 @@ from starmill.session import stored
 
 
 def _follow(pointers: DataFrame) -> DataFrame:
-    """``node, root`` with every root pointing to itself, by pointer doubling."""
+    """``node, root`` with every root pointing to itself, by pointer jumping, two steps at a time."""
     while True:
-        ahead = pointers.select(F.col("node").alias("root"), F.col("root").alias("ahead"))
+        first = pointers.select(F.col("node").alias("root"), F.col("root").alias("ahead"))
+        second = pointers.select(F.col("node").alias("ahead"), F.col("root").alias("beyond"))
         pointers = stored(
-            pointers.join(ahead, "root").select(
-                "node", F.col("ahead").alias("root"), (F.col("ahead") != F.col("root")).alias("moved")
+            pointers.join(first, "root").join(second, "ahead").select(
+                "node", F.col("beyond").alias("root"), (F.col("beyond") != F.col("ahead")).alias("moved")
             ),
             "components-roots",
         )
@@ -49,9 +50,8 @@ def components(edges: DataFrame) -> DataFrame:
             name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
             for name in ("a", "b")
         }
-        moved = stored(links.join(side["a"], "a").drop("a"), "components-half")
         links = stored(
-            moved.join(side["b"], "b")
+            links.join(side["a"], "a").join(side["b"], "b")
             .filter("a_root <> b_root")
             .select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
             .distinct(),
@@ -70,3 +70,24 @@ def components(edges: DataFrame) -> DataFrame:
     if found is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).filter("false")
     return found
+
+
+def extended(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node, root`` of the components of earlier edges, whose stored ``roots`` are given, and of new ones.
+
+    Only new edges between different components are contracted, so edges that come in several parts
+    cost no more rounds over the earlier ones.
+    """
+    side = {
+        name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+        for name in ("a", "b")
+    }
+    later = components(
+        edges.join(side["a"], "a", "left").join(side["b"], "b", "left").select(
+            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
+        ).distinct()
+    )
+    ahead = later.select(F.col("node").alias("root"), F.col("root").alias("later"))
+    moved = roots.join(ahead, "root", "left").select("node", F.coalesce("later", "root").alias("root"))
+    added = later.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return stored(moved.union(added), "components-extended")

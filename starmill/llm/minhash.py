@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import free_names, named, text_batches
 from starmill.llm.exact_dedup import located
-from starmill.llm.graph import components
+from starmill.llm.graph import components, extended
 from starmill.llm.simhash import BITS, SEED, keep_least, set_bits
 from starmill.llm.simhash import links as simhash_links
 from starmill.session import stored
@@ -147,8 +147,7 @@ def _sets_of(asked: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of fingerprints whose sets have a Jaccard index of 0.8 or more."""
-    pairs = stored(pairs, "minhash-pairs")
+    """The stored pairs ``a, b`` of fingerprints whose sets have a Jaccard index of 0.8 or more."""
     asked = pairs.select(F.explode(F.array("a", "b")).alias("fingerprint")).distinct()
     sets = _sets_of(asked, nodes, texts)
     side = {
@@ -269,6 +268,12 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
 
     ``texts`` has ``text`` of the prints' rows by ``file`` and ``row``.
     """
+    near, _, last = _searched(prints, texts)
+    return near.union(last)
+
+
+def _searched(prints: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The links but for the last ones, their components as ``node, root``, and the last links."""
     # Rows of one fingerprint have the same bands, SimHash and size.
     nodes = stored(prints.groupBy("fingerprint").agg(
         F.min(F.struct("file", "row")).alias("at"), F.first("bands").alias("bands"),
@@ -281,8 +286,8 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
 
     def rooted(members: DataFrame) -> DataFrame:
         """The members with the root of their component so far."""
-        roots = components(near).withColumnRenamed("node", "fingerprint")
-        return members.join(roots, "fingerprint", "left").withColumn(
+        of = roots.withColumnRenamed("node", "fingerprint")
+        return members.join(of, "fingerprint", "left").withColumn(
             "root", F.coalesce("root", "fingerprint")
         )
 
@@ -295,6 +300,7 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
     tried = nodes.selectExpr("fingerprint a", "fingerprint b").filter("false")
     pairs = stored(asked(_simhash_pairs(nodes)), "minhash-simhash-pairs")
     near, tried = _similar(pairs, nodes, texts), pairs
+    roots = components(near)
 
     for first, end in STARS:
         # One member of each component stands for it, so a large group costs a few bands only.
@@ -314,6 +320,7 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
         found = _similar(pairs, nodes, texts)
         tried = tried.union(pairs)
         near = near.union(found)
+        roots = extended(roots, found)
 
     rooted_members = stored(rooted(shared), "minhash-rooted")
     unsettled = stored(
@@ -334,7 +341,8 @@ def links(prints: DataFrame, texts: DataFrame) -> DataFrame:
         "a < b AND a_root <> root"
     ).select("a", "an", "b", "bn")
     crowded = _crowded_pairs(many, nodes, texts)
-    return near.union(_similar(asked(pairs.union(crowded)), nodes, texts))
+    pairs = stored(asked(pairs.union(crowded)), "minhash-pairs")
+    return near, roots, _similar(pairs, nodes, texts)
 
 
 def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -348,4 +356,5 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         named(source, text).alias("text"),
     )
     prints = stored(rows.mapInArrow(_print_batches, _PRINTS), "minhash-prints")
-    return keep_least(documents, source, prints, links(prints, rows), file, row)
+    _, roots, last = _searched(prints, rows)
+    return keep_least(documents, source, prints, extended(roots, last), file, row)

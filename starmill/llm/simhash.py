@@ -134,19 +134,18 @@ def links(nodes: DataFrame) -> DataFrame:
     )
 
 
-def group_nodes(prints: DataFrame, least: Column, linked: DataFrame | None = None) -> DataFrame:
+def group_nodes(prints: DataFrame, least: Column, roots: DataFrame | None = None) -> DataFrame:
     """``fingerprint`` of each node of the stored prints, and ``least`` over its component.
 
-    ``linked`` are pairs ``a, b`` of fingerprints; by default those in distance.
+    ``roots`` has ``node, root`` of fingerprints; by default the components of those in distance.
 
     Rows are reduced to one per distinct fingerprint before anything is joined, so a component of
     very many copies is no larger here than one of few.
     """
     nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes")
-    linked = links(nodes.select("fingerprint")) if linked is None else linked
-    roots = components(linked).withColumnRenamed("node", "fingerprint")
+    roots = components(links(nodes.select("fingerprint"))) if roots is None else roots
     rooted = stored(
-        nodes.join(roots, "fingerprint", "left").withColumn(
+        nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
             "root", F.coalesce("root", "fingerprint")
         ),
         "simhash-roots",
@@ -172,14 +171,14 @@ def near_duplicates(
 
 
 def keep_least(
-    documents: DataFrame, source: DataFrame, prints: DataFrame, linked: DataFrame | None,
+    documents: DataFrame, source: DataFrame, prints: DataFrame, roots: DataFrame | None,
     file: str, row: str,
 ) -> DataFrame:
     """The columns of ``documents`` from ``source`` with the first row of each component only."""
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "file", "row")
     # The rows that go are few where those that stay are many, so they are the side that is joined.
     dropped = prints.select("doc_id", "file", "row", "fingerprint").join(
-        group_nodes(prints, F.min(order), linked), "fingerprint"
+        group_nodes(prints, F.min(order), roots), "fingerprint"
     ).filter(
         F.struct("file", "row") != F.struct("least.file", "least.row")
     ).select(F.col("file").alias(file), F.col("row").alias(row))

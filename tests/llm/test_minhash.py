@@ -160,3 +160,16 @@ def test_simhash_links_what_no_band_holds(spark):
     assert len(near) > 6
     found = {(r.a, r.b) for r in minhash.links(prints, rows).collect()}
     assert found <= near and {b for _, b in found} == {b for _, b in near}
+
+
+def test_the_stage_runs_few_queries_with_short_plans(spark, rows):
+    """The driver keeps what it shows of each query, so their number and the plans' length are its memory."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    kept = corpus_pipeline.near(spark, spark.createDataFrame(rows, SCHEMA), "")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    after = store.executionsCount()
+    assert kept.count() == 2 * 60 + 1
+    last = store.executionsList(int(after) - 1, 1).head()
+    assert len(last.physicalPlanDescription()) <= 8 << 10
+    assert after - before <= 110, after - before

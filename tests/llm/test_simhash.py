@@ -76,6 +76,27 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert graph.components(edges.filter("false")).count() == 0
 
 
+def test_components_of_edges_in_parts(spark):
+    """Later edges join earlier components, bring new nodes, repeat what is known, or are none."""
+    parts = [
+        [(1, 2), (3, 4), (10, 11), (11, 12)], [(4, 2), (12, 20), (30, 31), (2, 1)], [],
+        [(31, 3), (40, 41), (7, 7)], [(41, 30), (20, 50)],
+    ]
+    first, *rest = [spark.createDataFrame(p, "a long, b long") for p in parts]
+    roots = graph.components(first)
+    for part in rest:
+        roots = graph.extended(roots, part)
+    rows = roots.collect()
+    assert len({r.node for r in rows}) == len(rows)
+    found = {}
+    for r in rows:
+        found.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, found.values())) == [[1, 2, 3, 4, 30, 31, 40, 41], [10, 11, 12, 20, 50]]
+    assert all(root in nodes for root, nodes in found.items())
+    empty = graph.extended(graph.components(first.filter("false")), first)
+    assert {r.node for r in empty.collect()} == {1, 2, 3, 4, 10, 11, 12}
+
+
 def test_odd_rows(odd, clashing, none):
     rows = simhash.near_duplicates(odd).collect()
     zero = "0" * 16
