@@ -20,35 +20,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import exact_dedup, language_id, minhash, packing, secret_scan
-from starmill.llm.common import short_plans, small_batches, table
+from starmill.llm.common import no_listings, short_plans, small_batches, table
 from starmill.llm.queries import tokenizer_file
 from starmill.session import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_plans(spark)
+    no_listings(spark)
     small_batches(spark)
     return language_id.keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_plans(spark)
+    no_listings(spark)
     return exact_dedup.keep_one(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_plans(spark)
+    no_listings(spark)
     small_batches(spark)
     return minhash.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_plans(spark)
+    no_listings(spark)
     return secret_scan.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     short_plans(spark)
+    no_listings(spark)
     small_batches(spark)
     return packing.pack(docs, tokenizer_file())
 

@@ -64,6 +64,17 @@ def short_plans(spark: SparkSession, most: int = 8 << 10) -> None:
         spark.conf.set(name, str(most))
 
 
+def no_listings(spark: SparkSession) -> None:
+    """Keep no list of the files of folders that are read from now on.
+
+    Spark holds these in the driver for the whole session, up to 250 MB, and a scratch table is read by
+    the DataFrame that listed it only. Catalog tables, too, are then listed by each query that reads them.
+    """
+    name = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    if spark.conf.get(name, None) != "0":
+        spark.conf.set(name, "0")
+
+
 def text_batches(
     batches: Iterable, column: str = "text", rows: int = 512
 ) -> Iterable[tuple[object, list[str]]]:

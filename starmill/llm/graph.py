@@ -25,7 +25,7 @@ def _follow(pointers: DataFrame) -> DataFrame:
             pointers.join(first, "root").join(second, "ahead").select(
                 "node", F.col("beyond").alias("root"), (F.col("beyond") != F.col("ahead")).alias("moved")
             ),
-            "components-roots",
+            "components-roots", narrow=True,
         )
         if pointers.filter("moved").isEmpty():
             return pointers.select("node", "root")
@@ -38,13 +38,14 @@ def components(edges: DataFrame) -> DataFrame:
     The root is one node of the component, the same for all of its nodes. Loops and repeated edges
     do no harm; a node that has only a loop, or no edge, is not in the result.
     """
-    links, found = stored(edges.select("a", "b").filter("a <> b"), "components-edges"), None
+    links = stored(edges.select("a", "b").filter("a <> b"), "components-edges", narrow=True)
+    found = None
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("b"))
         roots = _follow(stored(
             least.select(F.col("a").alias("node"), F.least("a", "b").alias("root")),
-            "components-pointers",
+            "components-pointers", narrow=True,
         ))
         side = {
             name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
@@ -55,7 +56,7 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("a_root <> b_root")
             .select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))
             .distinct(),
-            "components-edges",
+            "components-edges", narrow=True,
         )
         if found is None:
             found = roots
@@ -65,7 +66,7 @@ def components(edges: DataFrame) -> DataFrame:
                 found.join(later, "root", "left").select(
                     "node", F.coalesce("later", "root").alias("root")
                 ),
-                "components-found",
+                "components-found", narrow=True,
             )
     if found is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).filter("false")
@@ -90,4 +91,4 @@ def extended(roots: DataFrame, edges: DataFrame) -> DataFrame:
     ahead = later.select(F.col("node").alias("root"), F.col("root").alias("later"))
     moved = roots.join(ahead, "root", "left").select("node", F.coalesce("later", "root").alias("root"))
     added = later.join(roots.select("node"), "node", "left_anti").select("node", "root")
-    return stored(moved.union(added), "components-extended")
+    return stored(moved.union(added), "components-extended", narrow=True)

@@ -40,7 +40,7 @@ from starmill.llm.exact_dedup import located
 from starmill.llm.graph import components, extended
 from starmill.llm.simhash import BITS, SEED, keep_least, set_bits
 from starmill.llm.simhash import links as simhash_links
-from starmill.session import stored
+from starmill.session import WRITERS, release_finished, stored
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
@@ -133,7 +133,7 @@ def _sets(asked: DataFrame, texts: DataFrame) -> DataFrame:
         F.bitmap_construct_agg(F.expr("slot % 32768")).alias("bits")
     )
     bits = np.zeros(slots // 8, dtype=np.uint8)
-    for r in maps.collect():
+    for r in maps.coalesce(WRITERS * asked.sparkSession.sparkContext.defaultParallelism).collect():
         bits[r["part"] * 4096:(r["part"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
     shared = asked.sparkSession.sparkContext.broadcast(bits)
     made = texts.select("file", "row", "text", slot).mapInArrow(_set_batches(shared), _SETS)
@@ -143,7 +143,7 @@ def _sets(asked: DataFrame, texts: DataFrame) -> DataFrame:
 def _sets_of(asked: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """``fingerprint, shingles`` of the distinct fingerprints ``asked``, stored."""
     places = nodes.select("fingerprint", "at.file", "at.row").join(asked, "fingerprint", "left_semi")
-    return stored(_sets(stored(places, "minhash-asked"), texts), "minhash-sets")
+    return stored(_sets(stored(places, "minhash-asked", narrow=True), texts), "minhash-sets")
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def _crowded_pairs(many: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataF
         many.join(least, place).select("a", F.col("fingerprint").alias("b")).distinct()
     ).select(F.col("node").alias("fingerprint"), F.col("root").alias("crowd"))
     members = stored(
-        many.select("fingerprint", "n", "root").distinct().join(crowds, "fingerprint"), "minhash-members"
+        many.select("fingerprint", "n", "root").distinct().join(crowds, "fingerprint"), "minhash-members", narrow=True
     )
     held = _sets_of(members.select("fingerprint"), nodes, texts).join(members, "fingerprint")
     shared = (
@@ -246,7 +246,7 @@ def _simhash_pairs(nodes: DataFrame) -> DataFrame:
     """Pairs within two bits: the smallest nodes of linked SimHashes, and each node with its smallest."""
     centres = stored(
         nodes.groupBy("simhash").agg(F.min(F.struct("fingerprint", "n")).alias("centre")),
-        "minhash-simhash",
+        "minhash-simhash", narrow=True,
     )
     linked = simhash_links(centres.select(F.col("simhash").alias("fingerprint"))).distinct()
     side = {
@@ -282,7 +282,7 @@ def _searched(prints: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     placed = nodes.select(F.posexplode("bands").alias("band", "key"), "fingerprint", "n")
     place = ["band", "key"]
     several = placed.groupBy(*place).agg(F.count("*").alias("members")).filter("members > 1")
-    shared = stored(placed.join(several.drop("members"), place), "minhash-shared")
+    shared = stored(placed.join(several.drop("members"), place), "minhash-shared", narrow=True)
 
     def rooted(members: DataFrame) -> DataFrame:
         """The members with the root of their component so far."""
@@ -298,16 +298,17 @@ def _searched(prints: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
         ).distinct().join(tried, ["a", "b"], "left_anti")
 
     tried = nodes.selectExpr("fingerprint a", "fingerprint b").filter("false")
-    pairs = stored(asked(_simhash_pairs(nodes)), "minhash-simhash-pairs")
+    pairs = stored(asked(_simhash_pairs(nodes)), "minhash-simhash-pairs", narrow=True)
     near, tried = _similar(pairs, nodes, texts), pairs
     roots = components(near)
+    release_finished(prints.sparkSession)
 
     for first, end in STARS:
         # One member of each component stands for it, so a large group costs a few bands only.
         standing = stored(
             rooted(shared.filter((F.col("band") >= first) & (F.col("band") < end)))
             .groupBy(*place, "root").agg(F.min(F.struct("fingerprint", "n")).alias("member")),
-            "minhash-standing",
+            "minhash-standing", narrow=True,
         )
         centres = standing.groupBy(*place).agg(
             F.min("member").alias("centre"), F.count("*").alias("members")
@@ -316,23 +317,24 @@ def _searched(prints: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
             F.col("centre.fingerprint").alias("a"), F.col("centre.n").alias("an"),
             F.col("member.fingerprint").alias("b"), F.col("member.n").alias("bn"),
         )
-        pairs = stored(asked(starred), "minhash-starred")
+        pairs = stored(asked(starred), "minhash-starred", narrow=True)
         found = _similar(pairs, nodes, texts)
         tried = tried.union(pairs)
         near = near.union(found)
         roots = extended(roots, found)
+        release_finished(prints.sparkSession)
 
-    rooted_members = stored(rooted(shared), "minhash-rooted")
+    rooted_members = stored(rooted(shared), "minhash-rooted", narrow=True)
     unsettled = stored(
         rooted_members.groupBy(*place).agg(
             F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("members")
         ).filter("least <> most").select(*place, "members"),
-        "minhash-unsettled",
+        "minhash-unsettled", narrow=True,
     )
     few = rooted_members.join(unsettled.filter(F.col("members") <= CROWD), place).drop("members")
     many = stored(
         rooted_members.join(unsettled.filter(F.col("members") > CROWD), place).drop("members"),
-        "minhash-crowded",
+        "minhash-crowded", narrow=True,
     )
     other = few.select(
         *place, F.col("fingerprint").alias("a"), F.col("n").alias("an"), F.col("root").alias("a_root")
@@ -342,6 +344,7 @@ def _searched(prints: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     ).select("a", "an", "b", "bn")
     crowded = _crowded_pairs(many, nodes, texts)
     pairs = stored(asked(pairs.union(crowded)), "minhash-pairs")
+    release_finished(prints.sparkSession)
     return near, roots, _similar(pairs, nodes, texts)
 
 
@@ -357,4 +360,6 @@ def keep_one(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     )
     prints = stored(rows.mapInArrow(_print_batches, _PRINTS), "minhash-prints")
     _, roots, last = _searched(prints, rows)
-    return keep_least(documents, source, prints, extended(roots, last), file, row)
+    roots = extended(roots, last)
+    release_finished(prints.sparkSession)
+    return keep_least(documents, source, prints, roots, file, row)

@@ -107,7 +107,7 @@ def links(nodes: DataFrame) -> DataFrame:
     place = ["part", "key"]
     crowded = stored(
         table.groupBy(*place).count().filter(F.col("count") > CROWD).select(*place),
-        "simhash-crowded",
+        "simhash-crowded", narrow=True,
     )
 
     def matches(probes: DataFrame, same: bool) -> DataFrame:
@@ -142,19 +142,19 @@ def group_nodes(prints: DataFrame, least: Column, roots: DataFrame | None = None
     Rows are reduced to one per distinct fingerprint before anything is joined, so a component of
     very many copies is no larger here than one of few.
     """
-    nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes")
+    nodes = stored(prints.groupBy("fingerprint").agg(least.alias("least")), "simhash-nodes", narrow=True)
     roots = components(links(nodes.select("fingerprint"))) if roots is None else roots
     rooted = stored(
         nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
             "root", F.coalesce("root", "fingerprint")
         ),
-        "simhash-roots",
+        "simhash-roots", narrow=True,
     )
     whole = stored(
-        rooted.groupBy("root").agg(F.min("least").alias("least")), "simhash-components"
+        rooted.groupBy("root").agg(F.min("least").alias("least")), "simhash-components", narrow=True
     )
     return stored(
-        rooted.drop("least").join(whole, "root").select("fingerprint", "least"), "simhash-least"
+        rooted.drop("least").join(whole, "root").select("fingerprint", "least"), "simhash-least", narrow=True
     )
 
 
@@ -182,7 +182,7 @@ def keep_least(
     ).filter(
         F.struct("file", "row") != F.struct("least.file", "least.row")
     ).select(F.col("file").alias(file), F.col("row").alias(row))
-    result = source.join(stored(dropped, "simhash-dropped"), [file, row], "left_anti")
+    result = source.join(stored(dropped, "simhash-dropped", narrow=True), [file, row], "left_anti")
     return result.select(*[named(result, c) for c in documents.columns])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,6 +21,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+WRITERS = 4  # tasks per core that write a table of narrow rows
+
 _local_roots: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
@@ -76,13 +79,27 @@ def release_scratch(spark: SparkSession) -> int:
     return deleted
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the scratch folder now and read it from there.
 
     For results that several branches of a plan need: each branch prunes columns in its own
     way, so Spark would often compute them once per branch.
+
+    ``narrow`` rows, of a few numbers each, are written by ``WRITERS`` tasks per core at most: a task and
+    a file for each of many shuffle partitions would hold less than the driver keeps of them.
     """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(WRITERS * spark.sparkContext.defaultParallelism)
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_finished(spark: SparkSession) -> None:
+    """Let Spark drop the broadcasts and shuffle files of finished queries.
+
+    It does so only when the driver collects its garbage, which many small queries do not bring about.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -173,3 +173,9 @@ def test_the_stage_runs_few_queries_with_short_plans(spark, rows):
     last = store.executionsList(int(after) - 1, 1).head()
     assert len(last.physicalPlanDescription()) <= 8 << 10
     assert after - before <= 110, after - before
+
+
+def test_the_stage_leaves_no_file_lists_in_the_driver(spark, conf):
+    conf(spark__sql__hive__filesourcePartitionFileCacheSize=str(250 << 20))
+    corpus_pipeline.near(spark, spark.createDataFrame([], SCHEMA), "")
+    assert spark.conf.get("spark.sql.hive.filesourcePartitionFileCacheSize") == "0"

@@ -1,9 +1,11 @@
 import random
+from pathlib import Path
 
 import pytest
 import xxhash
 
 from starmill.llm import graph, simhash
+from starmill.session import WRITERS
 
 
 def brute_components(prints):
@@ -76,6 +78,18 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert graph.components(edges.filter("false")).count() == 0
 
 
+def test_components_are_few_files_whatever_the_shuffle_partitions(spark, conf):
+    """The driver keeps something of every task and file, so small tables are few of both."""
+    conf(spark__sql__shuffle__partitions="64", spark__sql__adaptive__coalescePartitions__enabled="false")
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(scratch.glob("components-*"))
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 2000, 2)], "a long, b long")
+    assert graph.components(edges).count() == 2000
+    written = set(scratch.glob("components-*")) - before
+    most = max(len(list(folder.glob("*.parquet"))) for folder in written)
+    assert most <= WRITERS * spark.sparkContext.defaultParallelism < 64
+
+
 def test_components_of_edges_in_parts(spark):
     """Later edges join earlier components, bring new nodes, repeat what is known, or are none."""
     parts = [
